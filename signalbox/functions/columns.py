@@ -32,8 +32,8 @@ __all__ = [
     "bucket_start",
 ]
 
-# Epoch as a zone-less timestamp: conversions below do not depend on the
-# session time zone.
+# Epoch as a zone-less timestamp. Conversions assume the session time zone is
+# UTC (a required setting, see ``signalbox.session``).
 def epoch_ntz() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 

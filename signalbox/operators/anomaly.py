@@ -69,6 +69,7 @@ def detect_station_delay_outliers(
     movements: DataFrame,
     z_threshold: float = C.Z_SCORE_THRESHOLD,
     min_samples: int = C.MIN_STATION_SAMPLES,
+    station_bound: int | None = None,
 ) -> DataFrame:
     """X-02: delays at least ``z_threshold`` deviations above the station mean.
 
@@ -76,14 +77,17 @@ def detect_station_delay_outliers(
     They are computed by an aggregate (partial per partition, so a busy
     station is combined before the shuffle) and joined back on the station;
     the statistics frame has one row per station and is broadcast when its
-    size is within the bound. Only stations with deviation > 0 and at least
-    ``min_samples`` samples are scored.
+    size is within the bound. ``station_bound`` is a known upper bound on the
+    number of stations (the row count of the checked location dimension the
+    names come from); without it the statistics are counted first. Only
+    stations with deviation > 0 and at least ``min_samples`` samples are
+    scored.
     """
     stats = station_delay_stats(movements).filter((F.col("std") > 0) & (F.col("n") >= min_samples))
     rows = movements.withColumn("delay_seconds", safe_double("delay_seconds")).filter(
         F.col("delay_seconds").isNotNull() & F.col("local_name").isNotNull()
     )
-    scored = join_small(rows, stats, "local_name", "inner").withColumn(
+    scored = join_small(rows, stats, "local_name", "inner", known_rows=station_bound).withColumn(
         "z_score", (F.col("delay_seconds") - F.col("mean")) / F.col("std")
     )
     hits = scored.filter(F.col("z_score") >= z_threshold)
@@ -138,10 +142,12 @@ def detect_cancellation_spikes(
     )
 
 
-def detect_anomalies(movements: DataFrame, cancellations: DataFrame) -> DataFrame:
+def detect_anomalies(
+    movements: DataFrame, cancellations: DataFrame, station_bound: int | None = None
+) -> DataFrame:
     """X-04 + U-01: all three detectors over deduplicated facts, as one frame."""
     return (
         detect_large_delays(movements)
-        .unionByName(detect_station_delay_outliers(movements))
+        .unionByName(detect_station_delay_outliers(movements, station_bound=station_bound))
         .unionByName(detect_cancellation_spikes(cancellations))
     )

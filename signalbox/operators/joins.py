@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from signalbox.constants import BROADCAST_MAX_ROWS
 
 
-def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``small`` has at most ``max_rows`` rows.
+def row_bound(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> int:
+    """Row count of ``small``, or ``max_rows + 1`` if it is larger.
 
-    Runs a bounded job (``limit(max_rows + 1)``), so the check itself never
-    scans more than needed to decide.
+    Runs a bounded job (``limit(max_rows + 1)``), so the check never scans
+    more than needed to decide.
     """
-    return small.limit(max_rows + 1).count() <= max_rows
+    return small.limit(max_rows + 1).count()
 
 
 def join_small(
@@ -23,12 +23,17 @@ def join_small(
     on,
     how: str = "left",
     max_rows: int = BROADCAST_MAX_ROWS,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Join ``big`` with ``small``; broadcast ``small`` only if its size is proven.
 
-    Beyond the bound the join falls back to a shuffle join, where adaptive
-    execution splits skewed keys of ``big``.
+    ``known_rows`` is an upper bound on the rows of ``small`` that the caller
+    already established (for example, per-station statistics have at most
+    one row per location record of a checked dimension); without it the size
+    is measured. Beyond ``max_rows`` the join falls back to a shuffle join, in
+    which adaptive execution splits skewed keys of ``big``.
     """
-    if fits_broadcast(small, max_rows):
+    rows = known_rows if known_rows is not None else row_bound(small, max_rows)
+    if rows <= max_rows:
         small = F.broadcast(small)
     return big.join(small, on, how)

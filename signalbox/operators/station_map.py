@@ -40,21 +40,27 @@ def station_abnormal_counts(anomalies: DataFrame) -> DataFrame:
 
 
 def station_map(
-    station_movements: DataFrame, coordinates: DataFrame, anomalies: DataFrame
+    station_movements: DataFrame,
+    coordinates: DataFrame,
+    anomalies: DataFrame,
+    station_bound: int | None = None,
+    coords_rows: int | None = None,
 ) -> DataFrame:
     """C-04: per-station map rows with coordinates, anomaly counts and styling.
 
     Station statistics are joined with coordinates (inner: stations without
     coordinates are not drawn) and anomaly counts (left: none -> 0). All
     three inputs are per-station frames; the coordinate and anomaly frames
-    are broadcast when their size is within the bound. With no movements the
-    result is an empty frame with the full schema.
+    are broadcast when their size is within the bound (``station_bound``:
+    known upper bound on station codes, e.g. rows of the checked location
+    dimension; ``coords_rows``: checked size of the coordinate frame). With no movements the result is an empty frame with the full
+    schema.
     """
     stats = station_stats(station_movements)
     coords = coordinates.select(*COORDINATE_SCHEMA.fieldNames())
     counts = station_abnormal_counts(anomalies)
-    rows = join_small(stats, coords, "alpha3", "inner")
-    rows = join_small(rows, counts, "alpha3", "left")
+    rows = join_small(stats, coords, "alpha3", "inner", known_rows=coords_rows)
+    rows = join_small(rows, counts, "alpha3", "left", known_rows=station_bound)
     rows = rows.withColumn("avg_delay", F.coalesce(F.col("avg_delay"), F.lit(0.0))).withColumn(
         "abnormal_count", F.coalesce(F.col("abnormal_count"), F.lit(0)).cast("int")
     )

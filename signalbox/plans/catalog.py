@@ -328,7 +328,8 @@ def large_delays(spark, sf_dir):
 @query
 def station_delay_outliers(spark, sf_dir):
     """X-02."""
-    return _r4(anomaly.detect_station_delay_outliers(Inputs(spark, sf_dir).mvd_raw), "anomaly_score")
+    i = Inputs(spark, sf_dir)
+    return _r4(anomaly.detect_station_delay_outliers(i.mvd_raw, station_bound=i.dim_rows), "anomaly_score")
 
 
 @query
@@ -441,7 +442,7 @@ def _flat_map(rows: DataFrame) -> DataFrame:
 
 
 def _station_map(i: Inputs) -> DataFrame:
-    return smap.station_map(i.station_mvd, i.coords, i.ab)
+    return smap.station_map(i.station_mvd, i.coords, i.ab, station_bound=i.dim_rows, coords_rows=i.coords_rows)
 
 
 @query

@@ -11,40 +11,99 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from signalbox.operators import dedup, transforms as tf
 from signalbox.operators.anomaly import detect_anomalies
+from signalbox.operators.joins import row_bound
+from signalbox.plans.landing import Landed, land
 from signalbox.sources import testdata
 from signalbox.sources.dimensions import location_dim, station_coordinates
 
 
+# Reference dimensions are static; like a long-running job, a session derives
+# each one once, keeps it (memory, spilling to disk; lost blocks are rebuilt
+# from lineage) and records its checked size.
+_DIMENSIONS: dict[tuple[str, str, str], tuple[DataFrame, int]] = {}
+
+
+def _dimension(spark: SparkSession, sf_dir: str, name: str, build) -> tuple[DataFrame, int]:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _DIMENSIONS:
+        df = build().persist(StorageLevel.MEMORY_AND_DISK)
+        _DIMENSIONS[key] = (df, row_bound(df))
+    return _DIMENSIONS[key]
+
+
+_INPUTS: dict[tuple[str, str], "Inputs"] = {}
+
+
 class Inputs:
+    """Lazily built input plans; one instance per (session, data folder)."""
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _INPUTS:
+            obj = super().__new__(cls)
+            obj.spark = spark
+            obj.sf_dir = sf_dir
+            _INPUTS[key] = obj
+        return _INPUTS[key]
+
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
+        pass
+
+    @cached_property
+    def landed(self) -> Landed:
+        return land(self.spark, self.sf_dir, self.dim, self.dim_rows)
+
+    def _landed_feed(self) -> DataFrame:
+        return self.spark.read.parquet(self.landed.feed_path)
 
     @cached_property
     def feed(self) -> DataFrame:
-        return testdata.feed(self.spark, self.sf_dir)
+        """Messages as landed (first delivery only)."""
+        return self._landed_feed().filter(F.col("batch_id") == 0).select("header", "body")
 
     @cached_property
     def feed2(self) -> DataFrame:
-        return testdata.feed(self.spark, self.sf_dir, replay=True)
+        """Messages as landed including replayed copies."""
+        return self._landed_feed().select("header", "body")
 
     @cached_property
+    def _dim(self) -> tuple[DataFrame, int]:
+        return _dimension(self.spark, self.sf_dir, "location",
+                          lambda: location_dim(testdata.location_records(self.spark, self.sf_dir)))
+
+    @property
     def dim(self) -> DataFrame:
-        return location_dim(testdata.location_records(self.spark, self.sf_dir))
+        return self._dim[0]
+
+    @property
+    def dim_rows(self) -> int:
+        """Checked size of the location dimension (bounded count)."""
+        return self._dim[1]
 
     @cached_property
+    def _coords(self) -> tuple[DataFrame, int]:
+        return _dimension(self.spark, self.sf_dir, "coordinates",
+                          lambda: station_coordinates(testdata.coordinate_records(self.spark, self.sf_dir)))
+
+    @property
     def coords(self) -> DataFrame:
-        return station_coordinates(testdata.coordinate_records(self.spark, self.sf_dir))
+        return self._coords[0]
+
+    @property
+    def coords_rows(self) -> int:
+        return self._coords[1]
 
     def enriched_delay(self, feed: DataFrame) -> DataFrame:
-        return tf.add_location_names(tf.calculate_delay(tf.extract_movements(feed)), self.dim)
+        return tf.add_location_names(tf.calculate_delay(tf.extract_movements(feed)), self.dim, self.dim_rows)
 
     def enriched_cancellations(self, feed: DataFrame) -> DataFrame:
-        return tf.add_location_names(tf.extract_cancellations(feed), self.dim)
+        return tf.add_location_names(tf.extract_cancellations(feed), self.dim, self.dim_rows)
 
     @cached_property
     def mv(self) -> DataFrame:
@@ -64,11 +123,15 @@ class Inputs:
 
     @cached_property
     def mvd_raw(self) -> DataFrame:
-        return dedup.dedup_movements(self.mv_rows2)
+        """Movement table read back and deduplicated (D-03), epoch-ms times."""
+        table = self.landed.sink.read_movements(self.spark)
+        return dedup.dedup_movements(table).drop("inserted_at")
 
     @cached_property
     def cxd_raw(self) -> DataFrame:
-        return dedup.dedup_cancellations(self.cx_rows2)
+        """Cancellation table read back and deduplicated (D-04)."""
+        table = self.landed.sink.read_cancellations(self.spark)
+        return dedup.dedup_cancellations(table).drop("inserted_at")
 
     @cached_property
     def mvd(self) -> DataFrame:
@@ -84,4 +147,6 @@ class Inputs:
 
     @cached_property
     def ab(self) -> DataFrame:
-        return detect_anomalies(self.mvd_raw, self.cxd_raw)
+        # Station names and codes come from the location dimension, so its
+        # checked size bounds every per-station frame.
+        return detect_anomalies(self.mvd_raw, self.cxd_raw, station_bound=self.dim_rows)
