@@ -18,7 +18,6 @@ from signalbox.operators import anomaly, dedup, stats, station_map as smap, time
 from signalbox.operators import transforms as tf
 from signalbox.plans.inputs import Inputs
 from signalbox.sources import feed as feed_src
-from signalbox.sources import testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -52,14 +51,17 @@ def _r4(df: DataFrame, *cols: str) -> DataFrame:
 @query
 def feed_parse(spark, sf_dir):
     """S-01/S-03: message text parsed with the fixed schema, all leaves flattened."""
-    parsed = feed_src.parse_feed_text(testdata.feed_text(spark, sf_dir))
+    landed = Inputs(spark, sf_dir).landed
+    parsed = feed_src.parse_feed_text(feed_src.read_message_lines(spark, landed.text_path))
     return tf.flatten_feed(parsed)
 
 
 @query
 def feed_quarantine(spark, sf_dir):
     """S-11: good vs corrupt message text."""
-    return feed_src.quarantine_counts(testdata.landing_text(spark, sf_dir))
+    landed = Inputs(spark, sf_dir).landed
+    frames = feed_src.read_message_lines(spark, [landed.text_path, landed.cut_text_path])
+    return feed_src.quarantine_counts(frames)
 
 
 @query

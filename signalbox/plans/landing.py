@@ -1,6 +1,7 @@
 """Batch ingestion of the derived feed into Parquet (one landing per session).
 
-The derived messages are landed as a Parquet table partitioned by
+The derived message text is landed as text files (what the collector
+writes), and the parsed messages as a Parquet table partitioned by
 ``batch_id``: batch 0 holds every message, batch 1 the replayed copies (the
 at-least-once redelivery of the fixture). Each batch then goes through the
 same ingestion step as a stream micro-batch, writing the movement and
@@ -29,6 +30,8 @@ from signalbox.streaming.micro_batch import process_feed_batch
 class Landed:
     feed_path: str
     sink: ParquetFactSink
+    text_path: str
+    cut_text_path: str
 
 
 _LANDED: dict[tuple[str, str], Landed] = {}
@@ -58,10 +61,15 @@ def land(spark: SparkSession, sf_dir: str, location_dim: DataFrame, dim_rows: in
         .partitionBy("batch_id")
         .parquet(feed_path)
     )
+    # Message text as received: every message as one JSON line, and the
+    # frames that were cut off in transit (not valid JSON).
+    text = testdata.feed_text(spark, sf_dir)
+    _spread(text).write.mode("overwrite").text(f"{base}/text/messages")
+    _spread(testdata.cut_frames(spark, sf_dir)).write.mode("overwrite").text(f"{base}/text/cut")
     sink = ParquetFactSink(f"{base}/tables")
     landed_feed = spark.read.parquet(feed_path)
     for batch_id in (0, 1):
         batch = landed_feed.filter(F.col("batch_id") == batch_id)
         process_feed_batch(batch, batch_id, location_dim, sink, dim_rows)
-    _LANDED[key] = Landed(feed_path, sink)
+    _LANDED[key] = Landed(feed_path, sink, f"{base}/text/messages", f"{base}/text/cut")
     return _LANDED[key]

@@ -55,6 +55,12 @@ def read_feed_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("wholetext", "true").text(path)
 
 
+def read_message_lines(spark: SparkSession, paths) -> DataFrame:
+    """Message text stored one message per line (``value`` column)."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return spark.read.text(paths)
+
+
 def parse_feed_text(df: DataFrame, text_col: str = "value", schema: T.StructType = FEED_SCHEMA) -> DataFrame:
     """Parse message text into ``header``/``body`` plus a corrupt-text column.
 

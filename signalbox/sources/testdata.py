@@ -105,20 +105,21 @@ def feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed(spark, sf_dir).select(F.to_json(F.struct("header", "body")).alias("value"))
 
 
-def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Message text as received, including frames cut off in transit.
-
-    Every activation (0001) frame also arrives a second time truncated by its
-    last character, which is not valid JSON.
-    """
+def cut_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message text cut off in transit: every activation (0001) frame arrives
+    a second time without its last character, which is not valid JSON."""
     text = feed(spark, sf_dir).select(
         F.col("header.msg_type").alias("msg_type"),
         F.to_json(F.struct("header", "body")).alias("value"),
     )
-    cut = text.filter(F.col("msg_type") == "0001").select(
+    return text.filter(F.col("msg_type") == "0001").select(
         F.expr("substring(value, 1, length(value) - 1)").alias("value")
     )
-    return text.select("value").unionByName(cut)
+
+
+def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message text as received, including the cut-off frames."""
+    return feed_text(spark, sf_dir).unionByName(cut_frames(spark, sf_dir))
 
 
 def location_records(spark: SparkSession, sf_dir: str) -> DataFrame:
