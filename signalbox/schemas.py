@@ -162,13 +162,18 @@ WINDOW_RESULT_SCHEMA = T.StructType(
 
 
 def jdbc_column_types(schema: T.StructType) -> str:
-    """``createTableColumnTypes`` string for a JDBC table (K-05)."""
+    """``createTableColumnTypes`` string for a JDBC table (K-05).
+
+    Text columns are left to the database dialect (e.g. TEXT, CLOB), which
+    also decides how nulls are bound.
+    """
     names = {
-        T.StringType: "VARCHAR(1024)",
         T.LongType: "BIGINT",
         T.IntegerType: "INTEGER",
         T.DoubleType: "DOUBLE",
         T.TimestampType: "TIMESTAMP",
         T.TimestampNTZType: "TIMESTAMP",
     }
-    return ", ".join(f"{f.name} {names[type(f.dataType)]}" for f in schema.fields)
+    return ", ".join(
+        f"{f.name} {names[type(f.dataType)]}" for f in schema.fields if type(f.dataType) in names
+    )

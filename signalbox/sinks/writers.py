@@ -12,6 +12,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalbox.operators.dedup import (
     dedup_cancellations_on_write,
@@ -98,15 +99,24 @@ class ParquetFactSink:
         write_batch_partition(cancellation_output(cancellations), self.cancellations_path, batch_id)
 
     def read_movements(self, spark: SparkSession) -> DataFrame:
-        return read_fact_table(spark, self.movements_path, MOVEMENT_TABLE_SCHEMA.fieldNames())
+        return read_fact_table(spark, self.movements_path, MOVEMENT_TABLE_SCHEMA)
 
     def read_cancellations(self, spark: SparkSession) -> DataFrame:
-        return read_fact_table(spark, self.cancellations_path, CANCELLATION_TABLE_SCHEMA.fieldNames())
+        return read_fact_table(spark, self.cancellations_path, CANCELLATION_TABLE_SCHEMA)
 
 
-def read_fact_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Rows of all batches, with the insert time kept for read-time dedup order."""
-    return spark.read.parquet(path).select(*columns, "inserted_at")
+def stored_schema(schema: T.StructType) -> T.StructType:
+    """Table schema plus insert time and batch partition column."""
+    return T.StructType(
+        schema.fields
+        + [T.StructField("inserted_at", T.TimestampNTZType()), T.StructField(BATCH_COLUMN, T.LongType())]
+    )
+
+
+def read_fact_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of all batches (fixed schema), with the insert time kept for the
+    read-time dedup order."""
+    return spark.read.schema(stored_schema(schema)).parquet(path).select(*schema.fieldNames(), "inserted_at")
 
 
 class JdbcFactSink:
@@ -191,6 +201,16 @@ def replace_jdbc_table(df: DataFrame, url: str, table: str, properties: dict | N
 # --- Window statistics (K-07) ------------------------------------------------
 
 WINDOW_KEY = ["window_start", "station"]
+WINDOW_RESULT_STORED = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("station", T.StringType()),
+        T.StructField("event_count", T.LongType()),
+        T.StructField("avg_delay", T.DoubleType()),
+        T.StructField("cancellation_count", T.LongType()),
+    ]
+)
 
 
 def write_window_updates(updates: DataFrame, path: str, batch_id: int) -> None:
@@ -200,7 +220,7 @@ def write_window_updates(updates: DataFrame, path: str, batch_id: int) -> None:
 
 def read_window_stats(spark: SparkSession, path: str) -> DataFrame:
     """Current window statistics: for each (window, station) the latest batch wins."""
-    rows = spark.read.parquet(path)
+    rows = spark.read.schema(stored_schema(WINDOW_RESULT_STORED)).parquet(path)
     cols = [c for c in rows.columns if c not in (BATCH_COLUMN, "inserted_at")]
     latest = keep_first(rows.select(*cols, BATCH_COLUMN), WINDOW_KEY, [-F.col(BATCH_COLUMN)])
     return latest.select(*cols)
