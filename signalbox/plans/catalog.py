@@ -141,26 +141,28 @@ def cancellation_output(spark, sf_dir):
 
 @query
 def dedup_movements(spark, sf_dir):
-    """D-03."""
-    return Inputs(spark, sf_dir).mvd_raw
+    """D-03 on the movement table (replayed batches included)."""
+    return Inputs(spark, sf_dir).dedup_mv_table()
 
 
 @query
 def dedup_cancellations(spark, sf_dir):
-    """D-04."""
-    return Inputs(spark, sf_dir).cxd_raw
+    """D-04 on the cancellation table."""
+    return Inputs(spark, sf_dir).dedup_cx_table()
 
 
 @query
 def prepare_movements(spark, sf_dir):
-    """C-01."""
-    return Inputs(spark, sf_dir).mvd
+    """C-01 on the movement table."""
+    i = Inputs(spark, sf_dir)
+    return i.prepare_mv(i.dedup_mv_table())
 
 
 @query
 def prepare_cancellations(spark, sf_dir):
-    """C-02."""
-    return Inputs(spark, sf_dir).cxd
+    """C-02 on the cancellation table."""
+    i = Inputs(spark, sf_dir)
+    return i.prepare_cx(i.dedup_cx_table())
 
 
 @query
@@ -348,8 +350,8 @@ def cancellation_spikes_daily(spark, sf_dir):
 
 @query
 def abnormal_events(spark, sf_dir):
-    """X-04 + U-01."""
-    return _r4(Inputs(spark, sf_dir).ab, "anomaly_score")
+    """X-04 + U-01 on the deduplicated facts."""
+    return _r4(Inputs(spark, sf_dir).detect(), "anomaly_score")
 
 
 # --- time series ------------------------------------------------------------

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from signalbox.operators import dedup, transforms as tf
 from signalbox.operators.anomaly import detect_anomalies
 from signalbox.operators.joins import row_bound
-from signalbox.plans.landing import Landed, land
+from signalbox.plans.landing import Landed, land, read_clean
+from signalbox.schemas import CANCELLATION_TABLE_SCHEMA, MOVEMENT_TABLE_SCHEMA
+from signalbox.sinks.writers import read_snapshot
 from signalbox.sources import testdata
 from signalbox.sources.dimensions import location_dim, station_coordinates
 
@@ -121,32 +123,62 @@ class Inputs:
     def cx_rows2(self) -> DataFrame:
         return tf.cancellation_rows(self.enriched_cancellations(self.feed2))
 
+    @cached_property
+    def mv_table(self) -> DataFrame:
+        """Movement table as written by ingestion (all batches, replays included)."""
+        return self.landed.sink.read_movements(self.spark)
+
+    @cached_property
+    def cx_table(self) -> DataFrame:
+        return self.landed.sink.read_cancellations(self.spark)
+
+    def dedup_mv_table(self) -> DataFrame:
+        """D-03 run on the movement table (epoch-ms times)."""
+        return dedup.dedup_movements(self.mv_table).drop("inserted_at")
+
+    def dedup_cx_table(self) -> DataFrame:
+        """D-04 run on the cancellation table."""
+        return dedup.dedup_cancellations(self.cx_table).drop("inserted_at")
+
     @cached_property
     def mvd_raw(self) -> DataFrame:
-        """Movement table read back and deduplicated (D-03), epoch-ms times."""
-        table = self.landed.sink.read_movements(self.spark)
-        return dedup.dedup_movements(table).drop("inserted_at")
+        """Deduplicated movements as published by the refresh step."""
+        return read_clean(self.spark, self.landed.clean_movements_path, MOVEMENT_TABLE_SCHEMA)
 
     @cached_property
     def cxd_raw(self) -> DataFrame:
-        """Cancellation table read back and deduplicated (D-04)."""
-        table = self.landed.sink.read_cancellations(self.spark)
-        return dedup.dedup_cancellations(table).drop("inserted_at")
+        """Deduplicated cancellations as published by the refresh step."""
+        return read_clean(self.spark, self.landed.clean_cancellations_path, CANCELLATION_TABLE_SCHEMA)
+
+    @staticmethod
+    def prepare_mv(raw: DataFrame) -> DataFrame:
+        return tf.with_delay_minutes(tf.with_event_time(raw, "actual_timestamp"))
+
+    @staticmethod
+    def prepare_cx(raw: DataFrame) -> DataFrame:
+        return tf.with_event_time(raw, "canx_timestamp")
 
     @cached_property
     def mvd(self) -> DataFrame:
-        return tf.with_delay_minutes(tf.with_event_time(self.mvd_raw, "actual_timestamp"))
+        return self.prepare_mv(self.mvd_raw)
 
     @cached_property
     def cxd(self) -> DataFrame:
-        return tf.with_event_time(self.cxd_raw, "canx_timestamp")
+        return self.prepare_cx(self.cxd_raw)
 
     @cached_property
     def station_mvd(self) -> DataFrame:
         return tf.filter_station_rows(self.mvd)
 
+    def detect(self) -> DataFrame:
+        """X-04 run on the deduplicated facts.
+
+        Station names and codes come from the location dimension, so its
+        checked size bounds every per-station frame.
+        """
+        return detect_anomalies(self.mvd_raw, self.cxd_raw, station_bound=self.dim_rows)
+
     @cached_property
     def ab(self) -> DataFrame:
-        # Station names and codes come from the location dimension, so its
-        # checked size bounds every per-station frame.
-        return detect_anomalies(self.mvd_raw, self.cxd_raw, station_bound=self.dim_rows)
+        """Anomaly table as published by the refresh step."""
+        return read_snapshot(self.spark, self.landed.anomalies_path)

@@ -56,6 +56,11 @@ def checkpoint_base(spark: SparkSession) -> str:
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; cluster jobs need a shared folder for "
+                "checkpoints and written intermediates"
+            )
         base = tempfile.mkdtemp(prefix="signalbox-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)

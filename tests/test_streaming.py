@@ -109,3 +109,16 @@ def test_window_stream_equals_batch(spark, tmp_dir):
                                                    "cancellation_count")
     assert rows(streamed) == rows(batch)
     assert len(rows(batch)) == 3
+
+
+def test_latest_window_results_by_batch_number(spark, tmp_dir):
+    from signalbox.sources.tables import read_latest_window_results
+
+    header = "window_start,window_end,station,event_count,avg_delay,cancellation_count"
+    for batch, station in ((9, "old"), (10, "new"), (2, "older")):
+        folder = os.path.join(tmp_dir, f"batch_{batch}")
+        os.makedirs(folder)
+        with open(os.path.join(folder, "part.csv"), "w") as f:
+            f.write(f"{header}\n2024-01-01 00:00:00,2024-01-01 00:10:00,{station},3,1.5,0\n")
+    out = read_latest_window_results(spark, tmp_dir)
+    assert [r.station for r in out.collect()] == ["new"]  # batch_10 is later than batch_9
