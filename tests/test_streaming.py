@@ -122,3 +122,29 @@ def test_latest_window_results_by_batch_number(spark, tmp_dir):
             f.write(f"{header}\n2024-01-01 00:00:00,2024-01-01 00:10:00,{station},3,1.5,0\n")
     out = read_latest_window_results(spark, tmp_dir)
     assert [r.station for r in out.collect()] == ["new"]  # batch_10 is later than batch_9
+
+
+def test_window_stream_drops_events_behind_the_watermark(spark, tmp_dir):
+    src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("src", "out", "ckpt"))
+    os.makedirs(src)
+    header = "event_time,train_id,station,route,delay_minutes,is_cancelled"
+    # Late rows are filtered with the watermark of the previous batch (Spark's
+    # rule for late events), so the late row comes two batches after the
+    # watermark passed its window.
+    files = [["2024-01-01 00:05:00,A,S,X,5,0", "2024-01-01 01:00:00,B,S,X,1,0"],  # watermark -> 00:50
+             ["2024-01-01 01:05:00,C,S,X,2,0"],
+             ["2024-01-01 00:06:00,LATE,S,X,100,0"]]                             # window 00:00-00:10 is closed
+    import time
+
+    now = time.time()
+    for n, lines in enumerate(files):
+        path = os.path.join(src, f"e{n}.csv")
+        with open(path, "w") as f:
+            f.write("\n".join([header] + lines) + "\n")
+        os.utime(path, (now - 100 + n * 10, now - 100 + n * 10))  # arrival order
+    stream = window_events_from_csv(spark, read_window_events_stream(spark, src, max_files_per_trigger=1))
+    q = start_window_stats_stream(stream, out, ckpt, watermark="10 minutes", trigger={"availableNow": True})
+    q.awaitTermination()
+    got = {str(r.window_start): (r.event_count, r.avg_delay)
+           for r in read_window_stats(spark, out).collect()}
+    assert got == {"2024-01-01 00:00:00": (1, 5.0), "2024-01-01 01:00:00": (2, 1.5)}
