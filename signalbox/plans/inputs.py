@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from signalbox.operators import dedup, transforms as tf
 from signalbox.operators.anomaly import detect_anomalies
 from signalbox.operators.joins import row_bound
-from signalbox.plans.landing import Landed, land, read_clean
+from signalbox.plans.landing import Landing, land, read_clean
 from signalbox.schemas import CANCELLATION_TABLE_SCHEMA, MOVEMENT_TABLE_SCHEMA
 from signalbox.sinks.writers import read_snapshot
 from signalbox.sources import testdata
@@ -58,7 +58,7 @@ class Inputs:
         pass
 
     @cached_property
-    def landed(self) -> Landed:
+    def landed(self) -> Landing:
         return land(self.spark, self.sf_dir, self.dim, self.dim_rows)
 
     def _landed_feed(self) -> DataFrame:

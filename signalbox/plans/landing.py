@@ -1,4 +1,4 @@
-"""Batch ingestion of the derived feed into Parquet (one landing per session).
+"""Batch ingestion of the derived feed into Parquet (once per session).
 
 The derived message text is landed as text files (what the collector
 writes), and the parsed messages as a Parquet table partitioned by
@@ -11,14 +11,14 @@ and pushed-down filters, instead of re-deriving the feed from ``events``; a
 query whose subject is an operator (parsing, dedup, detection) runs that
 operator on its input table itself.
 
-Everything is written under the shared folder named by
-``spark.checkpoint.dir``.
+Each artifact is written the first time a query needs it. Everything is
+written under the shared folder named by ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,69 +32,104 @@ from signalbox.sources import testdata
 from signalbox.streaming.micro_batch import process_feed_batch
 
 
-@dataclass(frozen=True)
-class Landed:
-    feed_path: str
-    sink: ParquetFactSink
-    text_path: str
-    cut_text_path: str
-    clean_movements_path: str
-    clean_cancellations_path: str
-    anomalies_path: str
-
-
-_LANDED: dict[tuple[str, str], Landed] = {}
-
-
 def _spread(df: DataFrame) -> DataFrame:
     """Spread a source that arrives in fewer partitions than task slots."""
     slots = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
-def land(spark: SparkSession, sf_dir: str, location_dim: DataFrame, dim_rows: int) -> Landed:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _LANDED:
-        return _LANDED[key]
-    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-    base = scratch_path(spark, f"landing/{spark.sparkContext.applicationId}/{tag}")
-    ev = testdata.table(spark, sf_dir, "events")
-    batches = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    ev = ev.select("*", F.explode(batches).alias("batch_id"))
-    messages = testdata.feed_from_events(ev, keep=("batch_id",))
-    feed_path = f"{base}/feed"
-    (
-        _spread(messages)
-        .sortWithinPartitions("batch_id", F.col("header.msg_type"))
-        .write.mode("overwrite")
-        .partitionBy("batch_id")
-        .parquet(feed_path)
-    )
-    # Message text as received: every message as one JSON line, and the
-    # frames that were cut off in transit (not valid JSON).
-    text = testdata.feed_text(spark, sf_dir)
-    _spread(text).write.mode("overwrite").text(f"{base}/text/messages")
-    _spread(testdata.cut_frames(spark, sf_dir)).write.mode("overwrite").text(f"{base}/text/cut")
-    sink = ParquetFactSink(f"{base}/tables")
-    landed_feed = spark.read.parquet(feed_path)
-    for batch_id in (0, 1):
-        batch = landed_feed.filter(F.col("batch_id") == batch_id)
-        process_feed_batch(batch, batch_id, location_dim, sink, dim_rows)
-
-    # Refresh step: deduplicated ("clean") facts, written once, and the
-    # anomaly table detected over them; report queries read these.
-    clean_mv, clean_cx = f"{base}/clean/raw_train_movements", f"{base}/clean/raw_train_cancellations"
-    dedup.dedup_movements(sink.read_movements(spark)).drop("inserted_at").write.mode("overwrite").parquet(clean_mv)
-    dedup.dedup_cancellations(sink.read_cancellations(spark)).drop("inserted_at").write.mode("overwrite").parquet(clean_cx)
-    anomalies = f"{base}/abnormal_events"
-    replace_snapshot(
-        detect_anomalies(read_clean(spark, clean_mv, MOVEMENT_TABLE_SCHEMA),
-                         read_clean(spark, clean_cx, CANCELLATION_TABLE_SCHEMA), station_bound=dim_rows),
-        anomalies,
-    )
-    _LANDED[key] = Landed(feed_path, sink, f"{base}/text/messages", f"{base}/text/cut", clean_mv, clean_cx, anomalies)
-    return _LANDED[key]
-
-
 def read_clean(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
+
+
+class Landing:
+    """Landed artifacts of one data folder in one session."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, location_dim: DataFrame, dim_rows: int):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self.location_dim = location_dim
+        self.dim_rows = dim_rows
+        tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+        self.base = scratch_path(spark, f"landing/{spark.sparkContext.applicationId}/{tag}")
+
+    @cached_property
+    def feed_path(self) -> str:
+        """Parsed messages, partitioned by delivery batch."""
+        ev = testdata.table(self.spark, self.sf_dir, "events")
+        batches = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        ev = ev.select("*", F.explode(batches).alias("batch_id"))
+        messages = testdata.feed_from_events(ev, keep=("batch_id",))
+        path = f"{self.base}/feed"
+        (
+            _spread(messages)
+            .sortWithinPartitions("batch_id", F.col("header.msg_type"))
+            .write.mode("overwrite")
+            .partitionBy("batch_id")
+            .parquet(path)
+        )
+        return path
+
+    @cached_property
+    def _text_paths(self) -> tuple[str, str]:
+        """Message text as received: every message as one JSON line, and the
+        frames that were cut off in transit (not valid JSON)."""
+        messages, cut = f"{self.base}/text/messages", f"{self.base}/text/cut"
+        _spread(testdata.feed_text(self.spark, self.sf_dir)).write.mode("overwrite").text(messages)
+        _spread(testdata.cut_frames(self.spark, self.sf_dir)).write.mode("overwrite").text(cut)
+        return messages, cut
+
+    @property
+    def text_path(self) -> str:
+        return self._text_paths[0]
+
+    @property
+    def cut_text_path(self) -> str:
+        return self._text_paths[1]
+
+    @cached_property
+    def sink(self) -> ParquetFactSink:
+        """Fact tables written batch by batch by the ingestion step."""
+        sink = ParquetFactSink(f"{self.base}/tables")
+        landed_feed = self.spark.read.parquet(self.feed_path)
+        for batch_id in (0, 1):
+            batch = landed_feed.filter(F.col("batch_id") == batch_id)
+            process_feed_batch(batch, batch_id, self.location_dim, sink, self.dim_rows)
+        return sink
+
+    @cached_property
+    def _clean_paths(self) -> tuple[str, str]:
+        """Refresh step: deduplicated ("clean") facts, written once."""
+        mv, cx = f"{self.base}/clean/raw_train_movements", f"{self.base}/clean/raw_train_cancellations"
+        sink = self.sink
+        dedup.dedup_movements(sink.read_movements(self.spark)).drop("inserted_at").write.mode("overwrite").parquet(mv)
+        dedup.dedup_cancellations(sink.read_cancellations(self.spark)).drop("inserted_at").write.mode(
+            "overwrite").parquet(cx)
+        return mv, cx
+
+    @property
+    def clean_movements_path(self) -> str:
+        return self._clean_paths[0]
+
+    @property
+    def clean_cancellations_path(self) -> str:
+        return self._clean_paths[1]
+
+    @cached_property
+    def anomalies_path(self) -> str:
+        """Refresh step: anomaly table detected over the clean facts."""
+        path = f"{self.base}/abnormal_events"
+        movements = read_clean(self.spark, self.clean_movements_path, MOVEMENT_TABLE_SCHEMA)
+        cancellations = read_clean(self.spark, self.clean_cancellations_path, CANCELLATION_TABLE_SCHEMA)
+        replace_snapshot(detect_anomalies(movements, cancellations, station_bound=self.dim_rows), path)
+        return path
+
+
+_LANDINGS: dict[tuple[str, str], Landing] = {}
+
+
+def land(spark: SparkSession, sf_dir: str, location_dim: DataFrame, dim_rows: int) -> Landing:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDINGS:
+        _LANDINGS[key] = Landing(spark, sf_dir, location_dim, dim_rows)
+    return _LANDINGS[key]
