@@ -104,6 +104,13 @@ class ParquetFactSink:
     def read_cancellations(self, spark: SparkSession) -> DataFrame:
         return read_fact_table(spark, self.cancellations_path, CANCELLATION_TABLE_SCHEMA)
 
+    def read_movements_with_batch(self, spark: SparkSession) -> DataFrame:
+        """All columns including ``inserted_at`` and the ``batch_id`` partition."""
+        return spark.read.schema(stored_schema(MOVEMENT_TABLE_SCHEMA)).parquet(self.movements_path)
+
+    def read_cancellations_with_batch(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(stored_schema(CANCELLATION_TABLE_SCHEMA)).parquet(self.cancellations_path)
+
 
 def stored_schema(schema: T.StructType) -> T.StructType:
     """Table schema plus insert time and batch partition column."""
