@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from signalbox.operators import dedup
 from signalbox.operators.anomaly import detect_anomalies
-from signalbox.sinks.writers import replace_snapshot
+from signalbox.sinks.writers import prune_snapshots, replace_snapshot
 
 
 def detect_from_tables(spark: SparkSession, sink, station_bound: int | None = None) -> DataFrame:
@@ -22,6 +22,11 @@ def detect_from_tables(spark: SparkSession, sink, station_bound: int | None = No
     return detect_anomalies(movements, cancellations, station_bound=station_bound)
 
 
-def run_detection(spark: SparkSession, sink, anomaly_path: str, station_bound: int | None = None) -> str:
-    """Detect over the whole tables and publish a new anomaly snapshot."""
-    return replace_snapshot(detect_from_tables(spark, sink, station_bound), anomaly_path)
+def run_detection(
+    spark: SparkSession, sink, anomaly_path: str, station_bound: int | None = None, keep: int = 3
+) -> str:
+    """Detect over the whole tables, publish a new anomaly snapshot, and keep
+    only the newest ``keep`` snapshots."""
+    version = replace_snapshot(detect_from_tables(spark, sink, station_bound), anomaly_path)
+    prune_snapshots(spark, anomaly_path, keep)
+    return version

@@ -173,17 +173,38 @@ def replace_snapshot(df: DataFrame, path: str) -> str:
     return version
 
 
-def current_snapshot(spark: SparkSession, path: str) -> str | None:
+def _finished_snapshots(spark: SparkSession, path: str) -> list[str]:
+    """Finished snapshot folders (``_SUCCESS`` present), oldest first."""
     fs, root = _hadoop_fs(spark, path)
     if not fs.exists(root):
-        return None
-    done = [
+        return []
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return sorted(
         s.getPath().toString()
         for s in fs.listStatus(root)
         if s.isDirectory() and s.getPath().getName().startswith("v=")
-        and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-    ]
-    return max(done) if done else None
+        and fs.exists(hpath(s.getPath(), "_SUCCESS"))
+    )
+
+
+def current_snapshot(spark: SparkSession, path: str) -> str | None:
+    done = _finished_snapshots(spark, path)
+    return done[-1] if done else None
+
+
+def prune_snapshots(spark: SparkSession, path: str, keep: int = 3) -> list[str]:
+    """Delete all but the newest ``keep`` finished snapshots; returns the deleted ones.
+
+    Keeping more than one lets readers that started on an older snapshot finish.
+    """
+    done = _finished_snapshots(spark, path)
+    old = done[: max(0, len(done) - max(keep, 1))]
+    if old:
+        fs, _ = _hadoop_fs(spark, path)
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for folder in old:
+            fs.delete(hpath(folder), True)
+    return old
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
