@@ -9,10 +9,11 @@ reports), ``ab`` (anomalies), ``coords`` (station coordinates).
 
 from __future__ import annotations
 
-from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+
+from signalbox.plans._cache import LOCK, once
 from pyspark.sql import functions as F
 
 from signalbox.operators import dedup, transforms as tf
@@ -33,10 +34,11 @@ _DIMENSIONS: dict[tuple[str, str, str], tuple[DataFrame, int]] = {}
 
 def _dimension(spark: SparkSession, sf_dir: str, name: str, build) -> tuple[DataFrame, int]:
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _DIMENSIONS:
-        df = build().persist(StorageLevel.MEMORY_AND_DISK)
-        _DIMENSIONS[key] = (df, row_bound(df))
-    return _DIMENSIONS[key]
+    with LOCK:
+        if key not in _DIMENSIONS:
+            df = build().persist(StorageLevel.MEMORY_AND_DISK)
+            _DIMENSIONS[key] = (df, row_bound(df))
+        return _DIMENSIONS[key]
 
 
 _INPUTS: dict[tuple[str, str], "Inputs"] = {}
@@ -47,34 +49,35 @@ class Inputs:
 
     def __new__(cls, spark: SparkSession, sf_dir: str):
         key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in _INPUTS:
-            obj = super().__new__(cls)
-            obj.spark = spark
-            obj.sf_dir = sf_dir
-            _INPUTS[key] = obj
-        return _INPUTS[key]
+        with LOCK:
+            if key not in _INPUTS:
+                obj = super().__new__(cls)
+                obj.spark = spark
+                obj.sf_dir = sf_dir
+                _INPUTS[key] = obj
+            return _INPUTS[key]
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         pass
 
-    @cached_property
+    @once
     def landed(self) -> Landing:
         return land(self.spark, self.sf_dir, self.dim, self.dim_rows)
 
     def _landed_feed(self) -> DataFrame:
         return self.spark.read.parquet(self.landed.feed_path)
 
-    @cached_property
+    @once
     def feed(self) -> DataFrame:
         """Messages as landed (first delivery only)."""
         return self._landed_feed().filter(F.col("batch_id") == 0).select("header", "body")
 
-    @cached_property
+    @once
     def feed2(self) -> DataFrame:
         """Messages as landed including replayed copies."""
         return self._landed_feed().select("header", "body")
 
-    @cached_property
+    @once
     def _dim(self) -> tuple[DataFrame, int]:
         return _dimension(self.spark, self.sf_dir, "location",
                           lambda: location_dim(testdata.location_records(self.spark, self.sf_dir)))
@@ -88,7 +91,7 @@ class Inputs:
         """Checked size of the location dimension (bounded count)."""
         return self._dim[1]
 
-    @cached_property
+    @once
     def _coords(self) -> tuple[DataFrame, int]:
         return _dimension(self.spark, self.sf_dir, "coordinates",
                           lambda: station_coordinates(testdata.coordinate_records(self.spark, self.sf_dir)))
@@ -107,28 +110,28 @@ class Inputs:
     def enriched_cancellations(self, feed: DataFrame) -> DataFrame:
         return tf.add_location_names(tf.extract_cancellations(feed), self.dim, self.dim_rows)
 
-    @cached_property
+    @once
     def mv(self) -> DataFrame:
         return self.enriched_delay(self.feed)
 
-    @cached_property
+    @once
     def cx(self) -> DataFrame:
         return self.enriched_cancellations(self.feed)
 
-    @cached_property
+    @once
     def mv_rows2(self) -> DataFrame:
         return tf.movement_rows(self.enriched_delay(self.feed2))
 
-    @cached_property
+    @once
     def cx_rows2(self) -> DataFrame:
         return tf.cancellation_rows(self.enriched_cancellations(self.feed2))
 
-    @cached_property
+    @once
     def mv_table(self) -> DataFrame:
         """Movement table as written by ingestion (all batches, replays included)."""
         return self.landed.sink.read_movements(self.spark)
 
-    @cached_property
+    @once
     def cx_table(self) -> DataFrame:
         return self.landed.sink.read_cancellations(self.spark)
 
@@ -140,12 +143,12 @@ class Inputs:
         """D-04 run on the cancellation table."""
         return dedup.dedup_cancellations(self.cx_table).drop("inserted_at")
 
-    @cached_property
+    @once
     def mvd_raw(self) -> DataFrame:
         """Deduplicated movements as published by the refresh step."""
         return read_clean(self.spark, self.landed.clean_movements_path, MOVEMENT_TABLE_SCHEMA)
 
-    @cached_property
+    @once
     def cxd_raw(self) -> DataFrame:
         """Deduplicated cancellations as published by the refresh step."""
         return read_clean(self.spark, self.landed.clean_cancellations_path, CANCELLATION_TABLE_SCHEMA)
@@ -158,15 +161,15 @@ class Inputs:
     def prepare_cx(raw: DataFrame) -> DataFrame:
         return tf.with_event_time(raw, "canx_timestamp")
 
-    @cached_property
+    @once
     def mvd(self) -> DataFrame:
         return self.prepare_mv(self.mvd_raw)
 
-    @cached_property
+    @once
     def cxd(self) -> DataFrame:
         return self.prepare_cx(self.cxd_raw)
 
-    @cached_property
+    @once
     def station_mvd(self) -> DataFrame:
         return tf.filter_station_rows(self.mvd)
 
@@ -178,7 +181,7 @@ class Inputs:
         """
         return detect_anomalies(self.mvd_raw, self.cxd_raw, station_bound=self.dim_rows)
 
-    @cached_property
+    @once
     def ab(self) -> DataFrame:
         """Anomaly table as published by the refresh step."""
         return read_snapshot(self.spark, self.landed.anomalies_path)

@@ -18,9 +18,10 @@ written under the shared folder named by ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import hashlib
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+
+from signalbox.plans._cache import LOCK, once
 from pyspark.sql import functions as F
 
 from signalbox.operators import dedup
@@ -53,7 +54,7 @@ class Landing:
         tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
         self.base = scratch_path(spark, f"landing/{spark.sparkContext.applicationId}/{tag}")
 
-    @cached_property
+    @once
     def feed_path(self) -> str:
         """Parsed messages, partitioned by delivery batch."""
         ev = testdata.table(self.spark, self.sf_dir, "events")
@@ -70,7 +71,7 @@ class Landing:
         )
         return path
 
-    @cached_property
+    @once
     def _text_paths(self) -> tuple[str, str]:
         """Message text as received: every message as one JSON line, and the
         frames that were cut off in transit (not valid JSON)."""
@@ -87,7 +88,7 @@ class Landing:
     def cut_text_path(self) -> str:
         return self._text_paths[1]
 
-    @cached_property
+    @once
     def sink(self) -> ParquetFactSink:
         """Fact tables written batch by batch by the ingestion step."""
         sink = ParquetFactSink(f"{self.base}/tables")
@@ -97,7 +98,7 @@ class Landing:
             process_feed_batch(batch, batch_id, self.location_dim, sink, self.dim_rows)
         return sink
 
-    @cached_property
+    @once
     def _clean_paths(self) -> tuple[str, str]:
         """Refresh step: deduplicated ("clean") facts, written once."""
         mv, cx = f"{self.base}/clean/raw_train_movements", f"{self.base}/clean/raw_train_cancellations"
@@ -115,7 +116,7 @@ class Landing:
     def clean_cancellations_path(self) -> str:
         return self._clean_paths[1]
 
-    @cached_property
+    @once
     def anomalies_path(self) -> str:
         """Refresh step: anomaly table detected over the clean facts."""
         path = f"{self.base}/abnormal_events"
@@ -130,6 +131,7 @@ _LANDINGS: dict[tuple[str, str], Landing] = {}
 
 def land(spark: SparkSession, sf_dir: str, location_dim: DataFrame, dim_rows: int) -> Landing:
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LANDINGS:
-        _LANDINGS[key] = Landing(spark, sf_dir, location_dim, dim_rows)
-    return _LANDINGS[key]
+    with LOCK:
+        if key not in _LANDINGS:
+            _LANDINGS[key] = Landing(spark, sf_dir, location_dim, dim_rows)
+        return _LANDINGS[key]
