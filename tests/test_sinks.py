@@ -73,3 +73,17 @@ def test_jdbc_derby_append_and_overwrite(spark):
     w.replace_jdbc_table(ab, url, "abnormal_events", props)
     assert w.read_jdbc(spark, url, "abnormal_events", props).count() == 1
     assert [r.train_id for r in w.read_jdbc(spark, url, "raw_train_movements", props).collect()] == ["A", "A"]
+
+
+def test_partitioned_jdbc_and_parquet_table_reads(spark, tmp_dir):
+    from signalbox.sources.tables import read_table
+
+    url = "jdbc:derby:memory:signalbox_read;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    df = spark.range(100).selectExpr("id", "cast(id % 7 as string) as k")
+    w.write_jdbc(df, url, "facts", "overwrite", props)
+    parts = read_table(spark, "facts", jdbc_url=url, properties=props, partition_column="id",
+                       bounds=(0, 100), num_partitions=4)
+    assert parts.rdd.getNumPartitions() == 4 and parts.count() == 100
+    df.write.parquet(f"{tmp_dir}/facts")
+    assert read_table(spark, "facts", base_path=tmp_dir).count() == 100
