@@ -10,9 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from signalbox import constants as C
+from signalbox.functions.columns import to_ts_ntz
 from signalbox.operators import dedup, stats, station_map as smap, timeseries as ts
 from signalbox.operators import transforms as tf
-from signalbox.functions.columns import to_ts_ntz
+from signalbox.session import checkpoint_base
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it from there.
+
+    Every report frame reads the prepared facts; without this each frame would
+    re-run the deduplication shuffle. A reliable checkpoint (not a local one)
+    survives lost executors and cuts the lineage.
+    """
+    checkpoint_base(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def prepare_movements(table: DataFrame) -> DataFrame:
@@ -40,12 +52,19 @@ def build_report(
     bucket: str = "1h",
     abnormal_min: int = C.DEFAULT_ABNORMAL_MAP_MIN,
     station_bound: int | None = None,
+    materialized: bool = True,
 ) -> dict[str, DataFrame]:
-    """All dashboard frames; ``bucket`` is one of ``10min``, ``1h``, ``1D``."""
+    """All dashboard frames; ``bucket`` is one of ``10min``, ``1h``, ``1D``.
+
+    With ``materialized`` (default) the prepared facts and anomalies are
+    written once to the checkpoint folder before the frames are built.
+    """
     duration = C.TIME_BUCKETS[bucket]
     mv = prepare_movements(movements)
     cx = prepare_cancellations(cancellations)
     ab = prepare_abnormal_events(anomalies)
+    if materialized:
+        mv, cx, ab = materialize(mv), materialize(cx), materialize(ab)
     station_mv = tf.filter_station_rows(mv)
     station_ab = tf.filter_station_rows(ab)
     map_rows = smap.station_map(station_mv, coordinates, ab, station_bound=station_bound)
@@ -70,10 +89,12 @@ def build_report(
     }
 
 
-def chart_report(movements: DataFrame, cancellations: DataFrame) -> dict[str, DataFrame]:
+def chart_report(movements: DataFrame, cancellations: DataFrame, materialized: bool = True) -> dict[str, DataFrame]:
     """C-06 / C-07: chart data over all movements and cancellations (deduplicated)."""
     mv = prepare_movements(movements)
     cx = prepare_cancellations(cancellations)
+    if materialized:
+        mv, cx = materialize(mv), materialize(cx)
     late = stats.late_movements(mv)
     return {
         "variation_status_distribution": stats.status_distribution(mv),
