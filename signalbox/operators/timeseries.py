@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalbox import constants as C
-from signalbox.functions.columns import epoch_ms_to_ts
+from signalbox.functions.columns import epoch_ms_to_ts, epoch_ntz
 
 
 def count_by_time(df: DataFrame, time_col: str, count_col: str, duration: str) -> DataFrame:
@@ -22,17 +22,35 @@ def count_by_time(df: DataFrame, time_col: str, count_col: str, duration: str) -
     )
 
 
-def count_by_time_filled(df: DataFrame, time_col: str, count_col: str, duration: str) -> DataFrame:
+def count_by_time_filled(
+    df: DataFrame, time_col: str, count_col: str, duration: str, chunk: int = 1024
+) -> DataFrame:
     """B-01: rows per bucket with empty buckets between the first and last as 0.
 
-    The bucket spine is generated from the (min, max) pair and has one row per
-    bucket in the covered span; it is joined with the per-bucket counts, both
-    of which are bounded by the span, not by the number of rows.
+    The bucket spine (one row per bucket in the covered span) is generated in
+    two levels so that no task produces it whole: one row per ``chunk``
+    buckets, spread over the cluster, then each row expands to its buckets.
+    It is joined with the per-bucket counts; both are bounded by the span,
+    not by the number of input rows.
     """
     counts = count_by_time(df, time_col, count_col, duration)
-    step = F.expr(f"INTERVAL {duration}")
-    spine = counts.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).select(
-        F.explode(F.sequence("lo", "hi", step)).alias(time_col)
+    epoch = epoch_ntz()
+    step_us = F.timestamp_diff("MICROSECOND", epoch, epoch + F.expr(f"INTERVAL {duration}"))
+    lo_us = F.timestamp_diff("MICROSECOND", epoch, F.col("lo"))
+    hi_us = F.timestamp_diff("MICROSECOND", epoch, F.col("hi"))
+    span = counts.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).filter(F.col("lo").isNotNull())
+    span = span.select(lo_us.alias("lo_us"), ((hi_us - lo_us) / step_us).cast("long").alias("last"),
+                       step_us.alias("step_us"))
+    coarse = span.select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("last") / F.lit(chunk)))).alias("c")
+    ).repartition(df.sparkSession.sparkContext.defaultParallelism)
+    first = F.col("c") * chunk
+    fine = coarse.select(
+        "lo_us", "step_us",
+        F.explode(F.sequence(first, F.least(first + (chunk - 1), F.col("last")))).alias("i"),
+    )
+    spine = fine.select(
+        F.timestamp_add("MICROSECOND", F.col("lo_us") + F.col("i") * F.col("step_us"), epoch).alias(time_col)
     )
     return spine.join(counts, time_col, "left").select(
         time_col, F.coalesce(F.col(count_col), F.lit(0)).cast("long").alias(count_col)

@@ -52,3 +52,13 @@ def test_station_window_stats(spark):
     assert rows(ts.window_station_cancels(out)) == [("S", 1)]
     assert [r[1] for r in rows(ts.window_event_totals(out))] == [3, 1]
     assert dict(out.dtypes)["window_start"] == "timestamp_ntz"
+
+
+def test_filled_spine_spans_many_chunks(spark):
+    # 2,000 hourly buckets with only the ends filled: the spine crosses chunks
+    df = _times(spark, [T0, T0 + 1999 * HOUR_MS])
+    out = ts.count_by_time_filled(df, "t", "n", "1 hour", chunk=64)
+    got = rows(out)
+    assert len(got) == 2000 and sum(n for _, n in got) == 2
+    assert str(got[0][0]) == "2024-01-01 00:00:00" and got[-1][1] == 1
+    assert len({t for t, _ in got}) == 2000
