@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from signalbox.functions.columns import epoch_ms_to_ts
 from signalbox.operators.dedup import (
     dedup_cancellations_on_write,
     dedup_movements_on_write,
@@ -28,6 +29,9 @@ from signalbox.schemas import (
 )
 
 BATCH_COLUMN = "batch_id"
+DATE_COLUMN = "event_date"
+MOVEMENT_TIME = "actual_timestamp"
+CANCELLATION_TIME = "canx_timestamp"
 
 
 # --- JDBC (K-01) --------------------------------------------------------------
@@ -68,14 +72,25 @@ def cancellation_output(cancellation_with_location: DataFrame) -> DataFrame:
     return dedup_cancellations_on_write(cancellation_rows(cancellation_with_location))
 
 
-def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write ``df`` as partition ``batch_id=<n>`` of a Parquet table (idempotent)."""
+def write_batch_partition(df: DataFrame, path: str, batch_id: int, time_col: str | None = None) -> None:
+    """Write ``df`` as partition ``batch_id=<n>`` of a Parquet table (idempotent).
+
+    With ``time_col`` (epoch ms) the table is also partitioned by the event's
+    UTC date (``event_date=<d>/batch_id=<n>``), so time-range reads prune
+    whole days. Dynamic overwrite replaces only the partitions this batch
+    writes, so a replayed batch replaces its own rows.
+    """
+    out = df.withColumn("inserted_at", F.current_timestamp().cast("timestamp_ntz")).withColumn(
+        BATCH_COLUMN, F.lit(int(batch_id)).cast("long")
+    )
+    parts = [BATCH_COLUMN]
+    if time_col is not None:
+        out = out.withColumn(DATE_COLUMN, F.to_date(epoch_ms_to_ts(time_col)))
+        parts = [DATE_COLUMN, BATCH_COLUMN]
     (
-        df.withColumn("inserted_at", F.current_timestamp().cast("timestamp_ntz"))
-        .withColumn(BATCH_COLUMN, F.lit(int(batch_id)).cast("long"))
-        .write.mode("overwrite")
+        out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COLUMN)
+        .partitionBy(*parts)
         .parquet(path)
     )
 
@@ -95,8 +110,9 @@ class ParquetFactSink:
         return f"{self.base_path}/raw_train_cancellations"
 
     def write(self, movements: DataFrame, cancellations: DataFrame, batch_id: int) -> None:
-        write_batch_partition(movement_output(movements), self.movements_path, batch_id)
-        write_batch_partition(cancellation_output(cancellations), self.cancellations_path, batch_id)
+        write_batch_partition(movement_output(movements), self.movements_path, batch_id, MOVEMENT_TIME)
+        write_batch_partition(cancellation_output(cancellations), self.cancellations_path, batch_id,
+                              CANCELLATION_TIME)
 
     def read_movements(self, spark: SparkSession) -> DataFrame:
         return read_fact_table(spark, self.movements_path, MOVEMENT_TABLE_SCHEMA)
@@ -105,25 +121,28 @@ class ParquetFactSink:
         return read_fact_table(spark, self.cancellations_path, CANCELLATION_TABLE_SCHEMA)
 
     def read_movements_with_batch(self, spark: SparkSession) -> DataFrame:
-        """All columns including ``inserted_at`` and the ``batch_id`` partition."""
-        return spark.read.schema(stored_schema(MOVEMENT_TABLE_SCHEMA)).parquet(self.movements_path)
+        """All columns including ``inserted_at`` and the partition columns."""
+        return spark.read.schema(stored_schema(MOVEMENT_TABLE_SCHEMA, dated=True)).parquet(self.movements_path)
 
     def read_cancellations_with_batch(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(stored_schema(CANCELLATION_TABLE_SCHEMA)).parquet(self.cancellations_path)
+        return spark.read.schema(stored_schema(CANCELLATION_TABLE_SCHEMA, dated=True)).parquet(
+            self.cancellations_path)
 
 
-def stored_schema(schema: T.StructType) -> T.StructType:
-    """Table schema plus insert time and batch partition column."""
-    return T.StructType(
-        schema.fields
-        + [T.StructField("inserted_at", T.TimestampNTZType()), T.StructField(BATCH_COLUMN, T.LongType())]
-    )
+def stored_schema(schema: T.StructType, dated: bool = False) -> T.StructType:
+    """Table schema plus insert time and partition columns."""
+    extra = [T.StructField("inserted_at", T.TimestampNTZType())]
+    if dated:
+        extra.append(T.StructField(DATE_COLUMN, T.DateType()))
+    extra.append(T.StructField(BATCH_COLUMN, T.LongType()))
+    return T.StructType(schema.fields + extra)
 
 
 def read_fact_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows of all batches (fixed schema), with the insert time kept for the
     read-time dedup order."""
-    return spark.read.schema(stored_schema(schema)).parquet(path).select(*schema.fieldNames(), "inserted_at")
+    stored = stored_schema(schema, dated=True)
+    return spark.read.schema(stored).parquet(path).select(*schema.fieldNames(), "inserted_at")
 
 
 class JdbcFactSink:

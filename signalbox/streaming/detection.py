@@ -36,7 +36,7 @@ from signalbox.operators.anomaly import (
 )
 from signalbox.operators.joins import join_small
 from signalbox.schemas import ANOMALY_COLUMNS, ANOMALY_SCHEMA
-from signalbox.sinks.writers import BATCH_COLUMN, stored_schema, write_batch_partition
+from signalbox.sinks.writers import BATCH_COLUMN, DATE_COLUMN, stored_schema, write_batch_partition
 
 KIND_LARGE, KIND_SPIKE, KIND_OUTLIER = "large_delay", "cancellation_spike", "station_delay_outlier"
 
@@ -67,14 +67,14 @@ class IncrementalDetection:
         mv_table = self.sink.read_movements_with_batch(self.spark)
         cx_table = self.sink.read_cancellations_with_batch(self.spark)
 
-        new_mv = self._batch(mv_table, batch_id).drop(BATCH_COLUMN, "inserted_at")
+        new_mv = self._batch(mv_table, batch_id).drop(BATCH_COLUMN, DATE_COLUMN, "inserted_at")
         large = detect_large_delays(new_mv).withColumn("kind", F.lit(KIND_LARGE))
 
         spikes = self._touched_spikes(cx_table, batch_id).withColumn("kind", F.lit(KIND_SPIKE))
         parts = large.unionByName(spikes)
 
         if batch_id % self.outlier_every == 0:
-            history = dedup.dedup_movements(mv_table.drop(BATCH_COLUMN)).drop("inserted_at")
+            history = dedup.dedup_movements(mv_table.drop(BATCH_COLUMN, DATE_COLUMN)).drop("inserted_at")
             outliers = detect_station_delay_outliers(history, station_bound=self.station_bound)
             parts = parts.unionByName(outliers.withColumn("kind", F.lit(KIND_OUTLIER)))
         write_batch_partition(parts, self.path, batch_id)
@@ -92,16 +92,20 @@ class IncrementalDetection:
             .filter(F.col("station").isNotNull() & F.col("bucket").isNotNull())
             .distinct()
         )
-        # Time range covered by the touched buckets, as epoch ms (one small job).
+        # Time range covered by the touched buckets, as epoch ms and as dates
+        # (one small job); the dates prune the table's event_date partitions.
         span = touched.agg(
             ts_to_epoch_ms(F.min("bucket")).alias("lo_ms"),
             ts_to_epoch_ms(F.max(F.window("bucket", self.spike_window).end)).alias("end_ms"),
+            F.to_date(F.min("bucket")).alias("lo_day"),
+            F.to_date(F.max(F.window("bucket", self.spike_window).end)).alias("hi_day"),
         ).first()
         if span is None or span.lo_ms is None:
             return self.spark.createDataFrame([], ANOMALY_SCHEMA)
         history = cx_table.filter(
-            (F.col("canx_timestamp") >= span.lo_ms) & (F.col("canx_timestamp") < span.end_ms)
-        ).drop(BATCH_COLUMN)
+            F.col(DATE_COLUMN).between(F.lit(span.lo_day), F.lit(span.hi_day))
+            & (F.col("canx_timestamp") >= span.lo_ms) & (F.col("canx_timestamp") < span.end_ms)
+        ).drop(BATCH_COLUMN, DATE_COLUMN)
         history = dedup.dedup_cancellations(history).drop("inserted_at")
         keyed = history.withColumn("station", F.col("local_name")).withColumn("bucket", bucket)
         in_touched = join_small(keyed, touched, ["station", "bucket"], "left_semi").drop("station", "bucket")
