@@ -1,6 +1,7 @@
 """Command-line jobs: ``python -m signalbox <command> ...`` (or via spark-submit).
 
 Commands
+  compact        rewrite landed message files (multi-line JSON) as nested Parquet
   batch          parse message files, print the statistics, optionally write the fact tables
   stream         run the feed stream into the fact tables, with optional detection per batch
   detect         detect anomalies over the fact tables and publish a new snapshot
@@ -35,6 +36,12 @@ def _dimension(spark, corpus):
     return dim, row_bound(dim)
 
 
+def cmd_compact(spark, a):
+    from signalbox.sources.feed import compact_feed
+
+    compact_feed(spark, a.feed, a.out, a.mode)
+
+
 def cmd_batch(spark, a):
     from signalbox.plans.batch_analysis import run_batch_analysis
     from signalbox.sinks.writers import ParquetFactSink
@@ -122,6 +129,12 @@ def parser() -> argparse.ArgumentParser:
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     sub = p.add_subparsers(dest="command", required=True)
 
+    k = sub.add_parser("compact")
+    k.add_argument("--feed", required=True, help="folder of message files (*.json)")
+    k.add_argument("--out", required=True, help="Parquet folder")
+    k.add_argument("--mode", choices=["append", "overwrite"], default="append")
+    k.set_defaults(run=cmd_compact)
+
     b = sub.add_parser("batch")
     b.add_argument("--feed", required=True, help="folder of message files (*.json)")
     b.add_argument("--corpus", required=True, help="location reference file")

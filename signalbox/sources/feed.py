@@ -113,3 +113,30 @@ def quarantine_split(df: DataFrame, text_col: str = "value") -> tuple[DataFrame,
 def quarantine_counts(df: DataFrame, text_col: str = "value") -> DataFrame:
     """Number of good and corrupt messages."""
     return classify_feed_text(df, text_col).groupBy("status").agg(F.count(F.lit(1)).alias("count"))
+
+
+def compact_feed(spark: SparkSession, path: str, out: str, mode: str = "append") -> None:
+    """Rewrite landed message files (``*.json``) as nested Parquet.
+
+    Multi-line JSON cannot be split, so every scan of the raw files is one
+    task per file; the compacted table splits by row group, keeps the nested
+    ``header``/``body`` layout (so scans prune to the needed leaves) and is
+    partitioned by message kind (``msg_kind``), so the extractors read only
+    their kind. Read it back with ``read_compacted_feed``.
+    """
+    feed = read_feed(spark, path)
+    (
+        feed.withColumn("msg_kind", F.coalesce(F.col("header.msg_type"), F.lit("none")))
+        .write.mode(mode)
+        .partitionBy("msg_kind")
+        .parquet(out)
+    )
+
+
+def read_compacted_feed(spark: SparkSession, path: str, kinds: list[str] | None = None) -> DataFrame:
+    """Compacted messages (``header``/``body``), optionally only some kinds."""
+    schema = T.StructType(FEED_SCHEMA.fields + [T.StructField("msg_kind", T.StringType())])
+    df = spark.read.schema(schema).parquet(path)
+    if kinds:
+        df = df.filter(F.col("msg_kind").isin(kinds))
+    return df.select("header", "body")

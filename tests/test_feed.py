@@ -80,3 +80,19 @@ def test_header_preview_and_flatten(spark):
     flat = tf.flatten_feed(feed)
     assert len(flat.columns) == 15 and flat.first().train_id == "A"
     assert flat.filter(F.col("msg_type") == "0003").count() == 1
+
+
+def test_compact_feed_round_trip(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    _write(src, "a.json", json.dumps([{"header": {"msg_type": "0003"}, "body": {"train_id": "A"}},
+                                      {"header": {"msg_type": "0002"}, "body": {"train_id": "B"}}], indent=2))
+    _write(src, "b.json", json.dumps({"body": {"train_id": "C"}}, indent=2))
+    out = os.path.join(tmp_dir, "compact")
+    fs.compact_feed(spark, src, out)
+    everything = fs.read_compacted_feed(spark, out)
+    assert rows(everything.select("body.train_id")) == [("A",), ("B",), ("C",)]
+    movements = tf.extract_movements(fs.read_compacted_feed(spark, out, ["0003"]))
+    assert rows(movements.select("train_id")) == [("A",)]
+    plan = movements._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(msg_kind" in plan
