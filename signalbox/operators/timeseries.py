@@ -63,14 +63,18 @@ def window_events(movements: DataFrame, cancellations: DataFrame) -> DataFrame:
     Movements: (actual time, location, delay in minutes, 0); cancellations:
     (cancellation time, location, null, 1). Inputs carry epoch-ms times.
     """
+    def event_time(df: DataFrame, ms_col: str):
+        # A stream carries its watermarked ``event_time``; keep that column.
+        return F.col("event_time") if "event_time" in df.columns else epoch_ms_to_ts(ms_col).alias("event_time")
+
     mv = movements.select(
-        epoch_ms_to_ts("actual_timestamp").alias("event_time"),
+        event_time(movements, "actual_timestamp"),
         F.col("local_name").alias("station"),
         (F.col("delay_seconds") / F.lit(60.0)).alias("delay_minutes"),
         F.lit(0).alias("is_cancelled"),
     )
     cx = cancellations.select(
-        epoch_ms_to_ts("canx_timestamp").alias("event_time"),
+        event_time(cancellations, "canx_timestamp"),
         F.col("local_name").alias("station"),
         F.lit(None).cast("double").alias("delay_minutes"),
         F.lit(1).alias("is_cancelled"),

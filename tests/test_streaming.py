@@ -180,3 +180,38 @@ def test_incremental_detection_equals_full_recompute(spark, tmp_dir):
     assert kinds.count("cancellation_spike") == 2 and kinds.count("large_delay") == 2
     assert kinds.count("station_delay_outlier") == 1
     assert rows(incremental) == rows(full)
+
+
+def test_feed_window_stream_counts_replays_once(spark, tmp_dir):
+    from signalbox.streaming.window_stream import start_feed_window_stream
+
+    src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("src", "out", "ckpt"))
+    os.makedirs(src)
+    msgs = [_msg(i * 60) for i in range(10)] + [_msg(i * 60 + 7, "0002") for i in range(4)]
+    files = [msgs[:5], msgs[5:10] + [msgs[0]], msgs[10:] + [msgs[11]]]  # replays in later files
+    import time
+
+    now = time.time()
+    for n, batch in enumerate(files):
+        _land(src, f"w{n}.json", batch)
+        os.utime(os.path.join(src, f"w{n}.json"), (now - 100 + n, now - 100 + n))
+    dim = _dim(spark)
+    q = start_feed_window_stream(spark, src, dim, out, ckpt, watermark="1 day",
+                                 trigger={"availableNow": True}, max_files_per_trigger=1)
+    q.awaitTermination()
+    streamed = read_window_stats(spark, out).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "station", "event_count",
+        "avg_delay", "cancellation_count")
+
+    from signalbox.operators.timeseries import window_events
+
+    feed = spark.read.option("multiLine", "true").schema(
+        __import__("signalbox.schemas", fromlist=["FEED_SCHEMA"]).FEED_SCHEMA).json(os.path.join(src, "*.json"))
+    mv = dedup.dedup_movements_on_write(tf.movement_rows(
+        tf.add_location_names(tf.calculate_delay(tf.extract_movements(feed)), dim)))
+    cx = dedup.dedup_cancellations_on_write(tf.cancellation_rows(
+        tf.add_location_names(tf.extract_cancellations(feed), dim)))
+    batch = station_window_stats(window_events(mv, cx)).select(
+        "window_start", "station", "event_count", "avg_delay", "cancellation_count")
+    assert rows(streamed) == rows(batch)
+    assert sum(r.event_count for r in batch.collect()) == 14
