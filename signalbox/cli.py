@@ -7,7 +7,7 @@ Commands
   detect         detect anomalies over the fact tables and publish a new snapshot
   report         compute the dashboard frames and write each as a table
   charts         compute the chart frames and write each as a table
-  window-stream  run the watermarked window aggregate over CSV event files
+  window-stream  run the watermarked window aggregate over CSV event files or the feed
 """
 
 from __future__ import annotations
@@ -115,11 +115,20 @@ def cmd_charts(spark, a):
 def cmd_window_stream(spark, a):
     from signalbox.sources.tables import read_window_events_stream
     from signalbox.streaming.micro_batch import run_until_stopped
-    from signalbox.streaming.window_stream import start_window_stats_stream, window_events_from_csv
+    from signalbox.streaming.window_stream import (
+        start_feed_window_stream,
+        start_window_stats_stream,
+        window_events_from_csv,
+    )
 
-    events = window_events_from_csv(spark, read_window_events_stream(spark, a.input, a.max_files))
     trigger = {"availableNow": True} if a.available_now else None
-    query = start_window_stats_stream(events, a.out, a.checkpoint, a.watermark, trigger=trigger)
+    if a.feed:
+        dim, dim_rows = _dimension(spark, a.corpus)
+        query = start_feed_window_stream(spark, a.feed, dim, a.out, a.checkpoint, dim_rows, a.watermark,
+                                         trigger=trigger, max_files_per_trigger=a.max_files or 10)
+    else:
+        events = window_events_from_csv(spark, read_window_events_stream(spark, a.input, a.max_files))
+        query = start_window_stats_stream(events, a.out, a.checkpoint, a.watermark, trigger=trigger)
     run_until_stopped(query)
     return query
 
@@ -176,7 +185,10 @@ def parser() -> argparse.ArgumentParser:
     c.set_defaults(run=cmd_charts)
 
     w = sub.add_parser("window-stream")
-    w.add_argument("--input", required=True, help="folder of CSV event files")
+    src = w.add_mutually_exclusive_group(required=True)
+    src.add_argument("--input", help="folder of CSV event files")
+    src.add_argument("--feed", help="folder of message files (*.json); needs --corpus")
+    w.add_argument("--corpus", help="location reference file (with --feed)")
     w.add_argument("--out", required=True)
     w.add_argument("--checkpoint", required=True)
     w.add_argument("--watermark", default="1 hour")
@@ -190,4 +202,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     args = parser().parse_args(argv)
     if getattr(args, "detect", "none") != "none" and args.command == "stream" and not args.anomalies:
         parser().error("--anomalies is required unless --detect none")
+    if args.command == "window-stream" and args.feed and not args.corpus:
+        parser().error("--corpus is required with --feed")
     return args.run(_session(spark), args)

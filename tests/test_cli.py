@@ -49,3 +49,9 @@ def test_jobs_end_to_end(spark, tmp_dir):
         assert spark.read.parquet(d("report" + "".join(flag)) + "/station_map").first().abnormal_count == 2
     charts = cli.main(["charts", "--tables", d("tables"), "--out", d("charts")], spark=spark)
     assert charts["top_cancelled_stations"].first()["count"] == 6
+
+    cli.main(["window-stream", "--feed", feed, "--corpus", corpus, "--out", d("win"), "--checkpoint", d("wckpt"),
+              "--watermark", "1 day", "--available-now"], spark=spark)
+    from signalbox.sinks.writers import read_window_stats
+
+    assert sum(r.event_count for r in read_window_stats(spark, d("win")).collect()) == 21
