@@ -78,9 +78,11 @@ WINDOW_TRIGGER_INTERVAL = "5 seconds"
 # Engine parameters (not part of the fixed values above)
 # ---------------------------------------------------------------------------
 
-# Upper bound on rows of a dimension or per-key statistics frame that may be
-# broadcast. Larger frames are joined with a shuffle join instead.
-BROADCAST_MAX_ROWS = 2_000_000
+# Upper bounds for a dimension or per-key statistics frame that may be
+# broadcast: rows, and estimated bytes (rows x schema row width). Larger
+# frames are joined with a shuffle join instead.
+BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 # Time buckets offered by the time-series report.
 TIME_BUCKETS = {"10min": "10 minutes", "1h": "1 hour", "1D": "1 day"}

@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalbox.constants import BROADCAST_MAX_ROWS
+from signalbox.constants import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
+
+# Per-value width estimates (Spark's default sizes for these types).
+_WIDTH = {"string": 20, "bigint": 8, "double": 8, "int": 4, "date": 4, "timestamp": 8,
+          "timestamp_ntz": 8, "boolean": 1}
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema (nested types count 64)."""
+    return sum(_WIDTH.get(t, 64) for _, t in df.dtypes) + 8
 
 
 def row_bound(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> int:
@@ -30,10 +39,11 @@ def join_small(
     ``known_rows`` is an upper bound on the rows of ``small`` that the caller
     already established (for example, per-station statistics have at most
     one row per location record of a checked dimension); without it the size
-    is measured. Beyond ``max_rows`` the join falls back to a shuffle join, in
-    which adaptive execution splits skewed keys of ``big``.
+    is measured. The estimated bytes (rows x schema row width) must also stay
+    within ``BROADCAST_MAX_BYTES``. Beyond either bound the join falls back to
+    a shuffle join, in which adaptive execution splits skewed keys of ``big``.
     """
     rows = known_rows if known_rows is not None else row_bound(small, max_rows)
-    if rows <= max_rows:
+    if rows <= max_rows and rows * row_width(small) <= BROADCAST_MAX_BYTES:
         small = F.broadcast(small)
     return big.join(small, on, how)

@@ -44,6 +44,23 @@ def test_broadcast_only_within_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_broadcast_needs_byte_bound_too(spark):
+    from signalbox.operators import joins
+
+    big = spark.range(100).withColumnRenamed("id", "k")
+    wide = spark.range(10).selectExpr("id as k", *[f"'x' as s{i}" for i in range(50)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        limit = joins.BROADCAST_MAX_BYTES
+        joins.BROADCAST_MAX_BYTES = 10 * joins.row_width(wide) - 1
+        assert "BroadcastHashJoin" not in _plan(join_small(big, wide, "k", "inner"))
+        joins.BROADCAST_MAX_BYTES = 10 * joins.row_width(wide)
+        assert "BroadcastHashJoin" in _plan(join_small(big, wide, "k", "inner"))
+    finally:
+        joins.BROADCAST_MAX_BYTES = limit
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_rankings_and_counts_are_partial_aggregates(spark):
     df = _hot_movements(spark).withColumn("delay_minutes", F.col("delay_seconds") / 60)
     assert "partial_count" in _plan(stats.top_delayed(df))
