@@ -37,3 +37,14 @@ def test_query_matches_oracle(spark, con, name):
     odf = con.execute(entry.oracle_sql()[name]).df()
     assert sorted(sdf.columns) == sorted(odf.columns)
     assert normalize(sdf.toPandas()) == normalize(odf)
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "Window [", "SortMergeJoin", "BatchEvalPython",
+             "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_plan_has_no_cross_join_window_or_python(spark, name):
+    df = entry.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in FORBIDDEN if op in plan]
