@@ -62,14 +62,19 @@ def cmd_stream(spark, a):
     from signalbox.streaming.detection import IncrementalDetection
     from signalbox.streaming.micro_batch import run_until_stopped, start_feed_stream
 
+    from signalbox.streaming.clean import IncrementalClean
+
     dim, dim_rows = _dimension(spark, a.corpus)
     sink = ParquetFactSink(a.tables)
+    clean = IncrementalClean(spark, sink, a.clean) if a.clean else None
     after = None
     if a.detect == "incremental":
-        after = IncrementalDetection(spark, sink, a.anomalies, dim_rows, outlier_every=a.outlier_every)
+        after = IncrementalDetection(spark, sink, a.anomalies, dim_rows, outlier_every=a.outlier_every, clean=clean)
     elif a.detect == "full":
         def after(batch_id):
             run_detection(spark, sink, a.anomalies, dim_rows)
+    if clean is not None:
+        clean.then, after = after, clean
     trigger = {"availableNow": True} if a.available_now else None
     query = start_feed_stream(spark, a.feed, a.checkpoint, dim, sink, dim_rows, after, trigger, a.max_files)
     run_until_stopped(query)
@@ -157,6 +162,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--corpus", required=True)
     s.add_argument("--tables", required=True)
     s.add_argument("--checkpoint", required=True, help="shared folder for stream progress")
+    s.add_argument("--clean", help="maintain deduplicated tables here (read by incremental detection)")
     s.add_argument("--detect", choices=["none", "incremental", "full"], default="incremental")
     s.add_argument("--anomalies", help="anomaly table folder (needed unless --detect none)")
     s.add_argument("--outlier-every", type=int, default=10)

@@ -37,6 +37,7 @@ from signalbox.operators.anomaly import (
 from signalbox.operators.joins import join_small
 from signalbox.schemas import ANOMALY_COLUMNS, ANOMALY_SCHEMA
 from signalbox.sinks.writers import BATCH_COLUMN, DATE_COLUMN, stored_schema, write_batch_partition
+from signalbox.streaming.clean import KINDS, IncrementalClean, clean_schema
 
 KIND_LARGE, KIND_SPIKE, KIND_OUTLIER = "large_delay", "cancellation_spike", "station_delay_outlier"
 
@@ -52,13 +53,22 @@ class IncrementalDetection:
         station_bound: int | None = None,
         outlier_every: int = 10,
         spike_window: str = C.CANCELLATION_SPIKE_WINDOW,
+        clean: "IncrementalClean | None" = None,
     ):
+        """``clean``: an ``IncrementalClean`` run before this step; its tables
+        are then the deduplicated history (no re-deduplication here)."""
         self.spark = spark
         self.sink = sink
         self.path = path.rstrip("/")
         self.station_bound = station_bound
         self.outlier_every = max(1, outlier_every)
         self.spike_window = spike_window
+        self.clean = clean
+
+    def _clean_history(self, kind: str) -> DataFrame | None:
+        if self.clean is None:
+            return None
+        return self.spark.read.schema(clean_schema(KINDS[kind][0])).parquet(self.clean.path(kind))
 
     def _batch(self, table: DataFrame, batch_id: int) -> DataFrame:
         return table.filter(F.col(BATCH_COLUMN) == batch_id)
@@ -74,7 +84,11 @@ class IncrementalDetection:
         parts = large.unionByName(spikes)
 
         if batch_id % self.outlier_every == 0:
-            history = dedup.dedup_movements(mv_table.drop(BATCH_COLUMN, DATE_COLUMN)).drop("inserted_at")
+            history = self._clean_history("movements")
+            if history is None:
+                history = dedup.dedup_movements(mv_table.drop(BATCH_COLUMN, DATE_COLUMN)).drop("inserted_at")
+            else:
+                history = history.drop(DATE_COLUMN)
             outliers = detect_station_delay_outliers(history, station_bound=self.station_bound)
             parts = parts.unionByName(outliers.withColumn("kind", F.lit(KIND_OUTLIER)))
         write_batch_partition(parts, self.path, batch_id)
@@ -102,11 +116,14 @@ class IncrementalDetection:
         ).first()
         if span is None or span.lo_ms is None:
             return self.spark.createDataFrame([], ANOMALY_SCHEMA)
-        history = cx_table.filter(
-            F.col(DATE_COLUMN).between(F.lit(span.lo_day), F.lit(span.hi_day))
-            & (F.col("canx_timestamp") >= span.lo_ms) & (F.col("canx_timestamp") < span.end_ms)
-        ).drop(BATCH_COLUMN, DATE_COLUMN)
-        history = dedup.dedup_cancellations(history).drop("inserted_at")
+        in_span = (F.col(DATE_COLUMN).between(F.lit(span.lo_day), F.lit(span.hi_day))
+                   & (F.col("canx_timestamp") >= span.lo_ms) & (F.col("canx_timestamp") < span.end_ms))
+        clean = self._clean_history("cancellations")
+        if clean is not None:
+            history = clean.filter(in_span).drop(DATE_COLUMN)
+        else:
+            history = cx_table.filter(in_span).drop(BATCH_COLUMN, DATE_COLUMN)
+            history = dedup.dedup_cancellations(history).drop("inserted_at")
         keyed = history.withColumn("station", F.col("local_name")).withColumn("bucket", bucket)
         in_touched = join_small(keyed, touched, ["station", "bucket"], "left_semi").drop("station", "bucket")
         return detect_cancellation_spikes(in_touched, threshold=1, window=self.spike_window)

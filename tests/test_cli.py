@@ -35,7 +35,11 @@ def test_jobs_end_to_end(spark, tmp_dir):
     assert stats["late_delay_by_location"].count() == 1
 
     cli.main(["stream", "--feed", feed, "--corpus", corpus, "--tables", d("tables"), "--checkpoint", d("ckpt"),
-              "--anomalies", d("inc"), "--outlier-every", "1", "--max-files", "1", "--available-now"], spark=spark)
+              "--anomalies", d("inc"), "--clean", d("clean"), "--outlier-every", "1", "--max-files", "1",
+              "--available-now"], spark=spark)
+    from signalbox.streaming.clean import read_clean_table
+
+    assert read_clean_table(spark, d("clean") + "/movements", "movements").count() == 15
     sink = ParquetFactSink(d("tables"))
     assert sink.read_movements(spark).count() == 15 and sink.read_cancellations(spark).count() == 6
 

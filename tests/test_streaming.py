@@ -167,10 +167,13 @@ def test_incremental_detection_equals_full_recompute(spark, tmp_dir):
     for n, batch in enumerate(files):
         _land(src, f"f{n}.json", batch)
         os.utime(os.path.join(src, f"f{n}.json"), (now - 100 + n, now - 100 + n))
+    from signalbox.streaming.clean import IncrementalClean
+
     dim = _dim(spark)
     sink = ParquetFactSink(out)
-    step = IncrementalDetection(spark, sink, ab, station_bound=2, outlier_every=1)
-    q = mb.start_feed_stream(spark, src, ckpt, dim, sink, after_write=step,
+    clean = IncrementalClean(spark, sink, os.path.join(tmp_dir, "clean"))
+    clean.then = IncrementalDetection(spark, sink, ab, station_bound=2, outlier_every=1, clean=clean)
+    q = mb.start_feed_stream(spark, src, ckpt, dim, sink, after_write=clean,
                              trigger={"availableNow": True}, max_files_per_trigger=1)
     q.awaitTermination()
 
