@@ -214,15 +214,24 @@ def current_snapshot(spark: SparkSession, path: str) -> str | None:
 def prune_snapshots(spark: SparkSession, path: str, keep: int = 3) -> list[str]:
     """Delete all but the newest ``keep`` finished snapshots; returns the deleted ones.
 
-    Keeping more than one lets readers that started on an older snapshot finish.
+    Keeping more than one lets readers that started on an older snapshot
+    finish. Unfinished folders (a failed write) older than the current
+    snapshot are deleted too; newer unfinished ones may still be in progress.
     """
     done = _finished_snapshots(spark, path)
+    if not done:
+        return []
     old = done[: max(0, len(done) - max(keep, 1))]
-    if old:
-        fs, _ = _hadoop_fs(spark, path)
-        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for folder in old:
-            fs.delete(hpath(folder), True)
+    fs, root = _hadoop_fs(spark, path)
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    current = hpath(done[-1]).getName()
+    finished = {hpath(d).getName() for d in done}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("v=") and name not in finished and name < current:
+            old.append(status.getPath().toString())
+    for folder in old:
+        fs.delete(hpath(folder), True)
     return old
 
 

@@ -38,9 +38,13 @@ def test_snapshot_replace(spark, tmp_dir):
     assert w.read_snapshot(spark, path).count() == 2
     w.replace_snapshot(one.limit(0), path)  # nothing found: the table becomes empty
     assert w.read_snapshot(spark, path).count() == 0
+    import os
+
+    os.makedirs(f"{path}/v=000000000000001")  # failed write: no _SUCCESS, older than current
     removed = w.prune_snapshots(spark, path, keep=2)
-    assert len(removed) == 1 and w.read_snapshot(spark, path).count() == 0
+    assert len(removed) == 2 and w.read_snapshot(spark, path).count() == 0
     assert len(w._finished_snapshots(spark, path)) == 2
+    assert not os.path.exists(f"{path}/v=000000000000001")
 
 
 def test_window_updates_latest_batch_wins(spark, tmp_dir):
