@@ -70,3 +70,24 @@ def checkpoint_base(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     return f"{checkpoint_base(spark).rstrip('/')}/{name}"
+
+
+def cluster_conf(total_cores: int, advisory_mb: int = 256) -> dict[str, str]:
+    """Settings for large clusters (apply at submit time or on the session).
+
+    Shuffle partitions start at three per core so each task's share of a
+    large shuffle fits in memory; adaptive execution then merges small
+    partitions toward ``advisory_mb`` and splits skewed ones (a key holding
+    a large share of the rows) at run time.
+    """
+    return {
+        **REQUIRED_CONF,
+        "spark.sql.shuffle.partitions": str(max(200, 3 * int(total_cores))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{advisory_mb * 2}m",
+        "spark.sql.files.maxPartitionBytes": f"{advisory_mb}m",
+        # Explicit broadcasts are size-checked; keep the planner's own
+        # automatic broadcast conservative.
+        "spark.sql.autoBroadcastJoinThreshold": "32m",
+    }

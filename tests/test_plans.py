@@ -34,3 +34,12 @@ def test_batch_analysis(spark):
     out = batch_analysis.run_batch_analysis(i.feed, i.dim)
     assert out["late_delay_by_location"].count() > 0
     assert sum(r["count"] for r in out["movements_by_status"].collect()) == i.mv.count()
+
+
+def test_cluster_conf_scales_partitions():
+    from signalbox.session import cluster_conf
+
+    conf = cluster_conf(8000)
+    assert conf["spark.sql.shuffle.partitions"] == "24000"
+    assert conf["spark.sql.session.timeZone"] == "UTC"
+    assert cluster_conf(4)["spark.sql.shuffle.partitions"] == "200"
