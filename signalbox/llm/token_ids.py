@@ -1,10 +1,14 @@
 """Token ids of whole texts by the ``tokenizers`` library, word by word where that is exact.
 
-Both public vocabularies used here never join characters across a space, so
-the ids of a text are the ids of its space-separated pieces in a row. Each
-piece goes through the library once per worker and is kept in a bounded
-dictionary; texts in which a space follows other white space are encoded
-whole, because there the byte-level pattern may split a run differently.
+Both public vocabularies used here never join characters across white space,
+so the ids of a text are the ids of its pieces in a row: pieces start at a
+space, or at a line end between two other characters. Each piece goes through
+the library once per worker and is kept in a bounded dictionary. A closing
+full stop or comma after a letter is a token run of its own, and the
+vocabulary without case reads ASCII letters as small ones; a new piece that
+differs from a known one in these alone needs no call. Where a space follows
+other white space the byte-level pattern may split the run differently; such
+texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -15,9 +19,10 @@ import re
 import numpy as np
 
 END_ID = 2
-KEPT_PIECES = 400_000  # pieces kept per worker; the dictionary starts anew when it is full
+KEPT_PIECES = 1_200_000  # pieces kept per worker; the dictionary starts anew when it is full
 KEPT_CHARS = 48  # longer pieces are encoded each time
 _SPACE_RUN = re.compile(r"\s ")
+_ANY_RUN = re.compile(r"\s\s|\s\Z")
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
@@ -42,45 +47,71 @@ class PieceEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.vocab_size = self.library.get_vocab_size()
-        # White space at a piece's start matters only where the vocabulary marks it.
-        self.spaced = "Ġthe" in self.library.get_vocab()
+        vocabulary = self.library.get_vocab()
+        # White space before a piece matters only where the vocabulary marks it.
+        self.spaced = "Ġthe" in vocabulary
+        self.lead = " " if self.spaced else ""
+        self.ends = {c: self._encode([c])[0] for c in ".,"}
         self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         done = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in done]
 
+    def _pieces(self, text: str) -> list[str] | None:
+        """The text cut at spaces (the first piece has none before it); None: not to be cut."""
+        if not self.spaced:
+            return text.replace("\n", " ").split(" ")
+        if not _ANY_RUN.search(text):
+            return text.replace("\n", " \n").split(" ")
+        return None if " \n" in text or _SPACE_RUN.search(text) else text.split(" ")
+
+    def _learn(self, new: set[str]) -> None:
+        """Add pieces to the dictionary."""
+        # A dotted capital I is a letter and a mark in small letters, and the mark joins what follows.
+        bases, derived = set(), []
+        for piece in new:
+            base, end = piece, b""
+            if len(piece) > 1 and piece[-1] in self.ends and piece[-2].isalpha() and piece[-2] != "İ":
+                base, end = piece[:-1], self.ends[piece[-1]]
+            if not self.spaced and base.isascii():
+                base = base.lower()
+            if base != piece:
+                derived.append((piece, base, end))
+            bases.add(base)
+        known = self.known
+        order = list(bases.difference(known))
+        known.update(zip(order, self._encode([self._led(p) for p in order]), strict=True))
+        for piece, base, end in derived:
+            known[piece] = known[base] + end
+
+    def _led(self, piece: str) -> str:
+        return piece if piece.startswith("\n") else self.lead + piece
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        split = []
-        for text in texts:
-            if self.spaced:
-                split.append(None if _SPACE_RUN.search(text) else text.split(" "))
-            else:
-                split.append(text.replace("\n", " ").split(" "))
-        lead = " " if self.spaced else ""
+        split = [self._pieces(t) for t in texts]
+        skip = 1 if self.spaced else 0
         new = set()
         for pieces in split:
             if pieces is not None:
-                new.update(pieces[1:] if self.spaced else pieces)
+                new.update(pieces[skip:])
         if len(self.known) + len(new) > KEPT_PIECES:
             self.known = {}
-        known = self.known
-        new.difference_update(known)
-        short = [p for p in new if len(p) <= KEPT_CHARS]
-        known.update(zip(short, self._encode([lead + p for p in short]), strict=True))
+        new.difference_update(self.known)
         long = [p for p in new if len(p) > KEPT_CHARS]
-        use = known if not long else {**{p: known[p] for q in split if q for p in q if p in known},
-                                      **dict(zip(long, self._encode([lead + p for p in long]), strict=True))}
-        whole = [t for t, p in zip(texts, split, strict=True) if p is None]
-        first = [p[0] for p in split if p is not None] if self.spaced else []
-        whole_ids, first_ids = iter(self._encode(whole)), iter(self._encode(first))
+        self._learn(new.difference(long))
+        ids = self.known.__getitem__
+        if long:  # kept for this call alone
+            own = dict(zip(long, self._encode([self._led(p) for p in long]), strict=True))
+            known = self.known
+            ids = lambda p: own[p] if p in own else known[p]
+        whole = iter(self._encode([t for t, p in zip(texts, split, strict=True) if p is None]))
+        first = iter(self._encode([p[0] for p in split if p is not None]) if self.spaced else ())
         out = []
         for pieces in split:
             if pieces is None:
-                out.append(next(whole_ids))
-            elif self.spaced:
-                out.append(next(first_ids) + b"".join(map(use.__getitem__, pieces[1:])))
+                out.append(next(whole))
             else:
-                out.append(b"".join(map(use.__getitem__, pieces)))
+                out.append((next(first) if self.spaced else b"") + b"".join(map(ids, pieces[skip:])))
         return out
