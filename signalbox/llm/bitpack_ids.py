@@ -124,16 +124,14 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID,
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                texts = [t.as_py().decode("utf-8", "replace") for t in batch.column(1)[at : at + 256]]
-                for doc_id, own in zip(batch.column(0)[at : at + 256], tokens.encode(texts), strict=True):
-                    own += tail
-                    if held and size + len(own) > 4 * segment_ids:
-                        yield image()
-                        doc_ids, held, size, serial = [], [], 0, serial + 1
-                    doc_ids.append(doc_id.as_py())
-                    held.append(own)
-                    size += len(own)
+            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
+                own = tokens.encode(text.as_py().decode("utf-8", "replace")) + tail
+                if held and size + len(own) > 4 * segment_ids:
+                    yield image()
+                    doc_ids, held, size, serial = [], [], 0, serial + 1
+                doc_ids.append(doc_id.as_py())
+                held.append(own)
+                size += len(own)
         if held:
             yield image()
 

@@ -130,12 +130,10 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
 
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            for at in range(0, batch.num_rows, 256):
-                part = [t.as_py().decode("utf-8", "replace") for t in texts[at : at + 256]]
-                for doc_id, own in zip(ids[at : at + 256], tokens.encode(part), strict=True):
-                    own += tail
-                    for full in packer.add((doc_id.as_py(), len(own) // 4), own):
-                        emit(full)
+            for doc_id, text in zip(ids, texts, strict=True):
+                own = tokens.encode(text.as_py().decode("utf-8", "replace")) + tail
+                for full in packer.add((doc_id.as_py(), len(own) // 4), own):
+                    emit(full)
                 if len(rows) >= 5000:
                     yield _batch(rows, schema)
                     rows.clear()

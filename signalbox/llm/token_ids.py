@@ -6,7 +6,9 @@ space, or at a line end between two other characters. Each piece goes through
 the library once per worker and is kept in a bounded dictionary. A closing
 full stop or comma after a letter is a token run of its own, and the
 vocabulary without case reads ASCII letters as small ones; a new piece that
-differs from a known one in these alone needs no call. Where a space follows
+differs from a known one in these alone needs no call. Pieces of plain Latin
+letters are a token run as they stand and go straight to the library's merge
+model; all others pass its normaliser and splitter. Where a space follows
 other white space the byte-level pattern may split the run differently; such
 texts are encoded whole.
 """
@@ -15,14 +17,17 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
-import numpy as np
+from signalbox.llm.wordpiece_count import byte_alphabet
 
 END_ID = 2
 KEPT_PIECES = 1_200_000  # pieces kept per worker; the dictionary starts anew when it is full
 KEPT_CHARS = 48  # longer pieces are encoded each time
 _SPACE_RUN = re.compile(r"\s ")
 _ANY_RUN = re.compile(r"\s\s|\s\Z")
+# Letters whose small letters and composed forms are single letters as well.
+_LETTERS = re.compile("\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+").fullmatch
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
@@ -40,23 +45,24 @@ def encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
-class PieceEncoder:
+class PieceEncoder(dict):
+    """Ids of texts (little-endian unsigned 32-bit); the dictionary holds those of known pieces."""
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.vocab_size = self.library.get_vocab_size()
-        vocabulary = self.library.get_vocab()
         # White space before a piece matters only where the vocabulary marks it.
-        self.spaced = "Ġthe" in vocabulary
-        self.lead = " " if self.spaced else ""
-        self.ends = {c: self._encode([c])[0] for c in ".,"}
-        self.known: dict[str, bytes] = {}
+        self.spaced = "Ġthe" in self.library.get_vocab()
+        self.merge = self.library.model.tokenize
+        self.letter = {b: c for c, b in byte_alphabet().items()}
+        self.line_end = self._whole("\n")
+        self.ends = {c: self._whole(c) for c in ".,"}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        done = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in done]
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _pieces(self, text: str) -> list[str] | None:
         """The text cut at spaces (the first piece has none before it); None: not to be cut."""
@@ -66,52 +72,38 @@ class PieceEncoder:
             return text.replace("\n", " \n").split(" ")
         return None if " \n" in text or _SPACE_RUN.search(text) else text.split(" ")
 
-    def _learn(self, new: set[str]) -> None:
-        """Add pieces to the dictionary."""
+    def __missing__(self, piece: str) -> bytes:
         # A dotted capital I is a letter and a mark in small letters, and the mark joins what follows.
-        bases, derived = set(), []
-        for piece in new:
-            base, end = piece, b""
-            if len(piece) > 1 and piece[-1] in self.ends and piece[-2].isalpha() and piece[-2] != "İ":
-                base, end = piece[:-1], self.ends[piece[-1]]
-            if not self.spaced and base.isascii():
-                base = base.lower()
-            if base != piece:
-                derived.append((piece, base, end))
-            bases.add(base)
-        known = self.known
-        order = list(bases.difference(known))
-        known.update(zip(order, self._encode([self._led(p) for p in order]), strict=True))
-        for piece, base, end in derived:
-            known[piece] = known[base] + end
-
-    def _led(self, piece: str) -> str:
-        return piece if piece.startswith("\n") else self.lead + piece
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of every text."""
-        split = [self._pieces(t) for t in texts]
-        skip = 1 if self.spaced else 0
-        new = set()
-        for pieces in split:
-            if pieces is not None:
-                new.update(pieces[skip:])
-        if len(self.known) + len(new) > KEPT_PIECES:
-            self.known = {}
-        new.difference_update(self.known)
-        long = [p for p in new if len(p) > KEPT_CHARS]
-        self._learn(new.difference(long))
-        ids = self.known.__getitem__
-        if long:  # kept for this call alone
-            own = dict(zip(long, self._encode([self._led(p) for p in long]), strict=True))
-            known = self.known
-            ids = lambda p: own[p] if p in own else known[p]
-        whole = iter(self._encode([t for t, p in zip(texts, split, strict=True) if p is None]))
-        first = iter(self._encode([p[0] for p in split if p is not None]) if self.spaced else ())
-        out = []
-        for pieces in split:
-            if pieces is None:
-                out.append(next(whole))
-            else:
-                out.append((next(first) if self.spaced else b"") + b"".join(map(ids, pieces[skip:])))
-        return out
+        if len(piece) > 1 and piece[-1] in self.ends and piece[-2].isalpha() and piece[-2] != "İ":
+            ids = self[piece[:-1]] + self.ends[piece[-1]]
+        elif not self.spaced and piece.isascii() and not piece.islower() and piece.isalpha():
+            ids = self[piece.lower()]
+        elif _LETTERS(piece):
+            ids = self._merged(piece)
+        else:
+            ids = self._whole(piece if not self.spaced or piece.startswith("\n") else " " + piece)
+        if len(piece) <= KEPT_CHARS:
+            if len(self) >= KEPT_PIECES:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+    def _merged(self, piece: str) -> bytes:
+        """Ids of a piece of letters, with a line end before them or not."""
+        lead, start = ("Ġ" if self.spaced else ""), b""
+        if piece[0] == "\n":
+            piece, lead, start = piece[1:], "", self.line_end
+        if not self.spaced:
+            piece = piece.lower()
+        if not piece.isascii():
+            piece = "".join(map(self.letter.__getitem__, piece.encode()))
+        return start + array("I", [t.id for t in self.merge(lead + piece)]).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a whole text."""
+        pieces = self._pieces(text)
+        if pieces is None:
+            return self._whole(text)
+        if self.spaced:
+            return self._whole(pieces[0]) + b"".join(map(self.__getitem__, pieces[1:]))
+        return b"".join(map(self.__getitem__, pieces))
