@@ -32,8 +32,8 @@ from signalbox.llm.token_ids import END_ID, encoder
 
 MAGIC = b"SBTOKEN1"
 BLOCK_IDS = 1 << 14
-SEGMENT_IDS = 1 << 22
-TASK_CHARS = 32 << 20  # text of about this size goes to one task
+SEGMENT_IDS = 1 << 21
+TASK_CHARS = 16 << 20  # text of about this size goes to one task
 HEADER = ("bits", "block_ids", "n_ids", "n_docs", "part", "segment", "nulls")
 
 

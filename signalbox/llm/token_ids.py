@@ -22,7 +22,7 @@ from array import array
 from signalbox.llm.wordpiece_count import byte_alphabet
 
 END_ID = 2
-KEPT_PIECES = 1_200_000  # pieces kept per worker; the dictionary starts anew when it is full
+KEPT_PIECES = 700_000  # pieces kept per worker; the dictionary starts anew when it is full
 KEPT_CHARS = 48  # longer pieces are encoded each time
 _SPACE_RUN = re.compile(r"\s ")
 _ANY_RUN = re.compile(r"\s\s|\s\Z")
