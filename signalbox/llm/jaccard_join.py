@@ -15,9 +15,15 @@ at most one element in a segment with v = 2.
   v = 2 is chosen per band by a cost model (postings written plus expected
   chance matches).
 * An empty segment would be one posting list for unrelated sets, so it is
-  given v = 0: if two sets agree in nothing but empty segments, each other
-  segment (v = 1) must differ by exactly one element, and these sets post the
-  one-deletion neighbourhoods of their other segments instead.
+  given v = 0. If two sets agree in a empty segments and nothing else, at most
+  a - 1 of their other segments differ by more than one element; so a set with
+  w empty segments posts, for each of them, the one-deletion neighbourhoods of
+  the next w segments instead (where such a neighbour is empty itself, those
+  of the next w after it as well). Bands whose segments have fewer than three
+  elements on average post empty segments like any others.
+* Where a band has so many segments that a similar pair agrees in a larger one
+  all but surely (chance of a miss below 1e-15, the order of a collision of
+  64-bit hashes), segments of a few elements are not posted at all.
 
 Sets that share a posting form clusters (connected components of postings).
 Only their texts are read a second time; each cluster is verified exactly, all
@@ -28,6 +34,7 @@ with the smallest set it reaches and its number of links.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -125,6 +132,25 @@ class Bands:
         twos = min(range((need + 1) // 2 + 1), key=cost)
         return twos, max(0, need - 2 * twos)
 
+    @lru_cache(maxsize=None)  # noqa: B019
+    def unposted(self, k: int) -> int:
+        """Segments with so many elements or fewer are not posted in space ``k`` (-1: all are).
+
+        A similar pair differs in at most H = m - 1 elements, which leave each
+        of m segments untouched with a chance of about 1 / e.
+        """
+        twos, m = self.allocation(k)
+        if twos:
+            return -1
+        mean = (1 + (self.ends[k - 1] if k else 0)) / m
+        best, below, term = -1, 0.0, math.exp(-mean)
+        for t in range(4):
+            below += term
+            term *= mean / (t + 1)
+            if (1 - (1 - below) / math.e) ** m < 1e-15:
+                best = t
+        return best
+
     def spaces(self, size: int) -> list[int]:
         """Spaces that a set of ``size`` elements posts in."""
         k = self.band(size)
@@ -147,24 +173,40 @@ def postings(shingles: np.ndarray, bands: Bands) -> np.ndarray:
         count = np.diff(edge).astype(np.uint64)
         total = running[edge[1:]] - running[edge[:-1]]
         place = _mixed(np.arange(m, dtype=np.uint64) + np.uint64((k + 1) << 32))
-        less_one = total[part.astype(int)] - own  # per element: its segment without it
-        less_count = count[part.astype(int)] - np.uint64(1)
+        least = bands.unposted(k)
+        beside = least < 0 and not twos and bands.ends[k] >= 3 * m
+        empty = np.flatnonzero(count == 0) if beside else []
+        posted = count > max(least, 0) if beside or least >= 0 else np.ones(m, bool)
+        out.append(_mixed(total + _mixed(place + count))[posted])
+        if twos:  # one-deletion neighbourhoods: an element's segment without it
+            at = np.flatnonzero(part < np.uint64(twos))
+            of = part[at].astype(int)
+            out.append(_mixed(total[of] - own[at] + _mixed(place[of] + count[of] - np.uint64(1))))
+        for i in empty:
+            out.extend(_beside_empty(int(i), len(empty), total, count, own, edge, place))
+    return np.unique(np.concatenate(out)).view(np.int64)
 
-        def key(total: np.ndarray, count: np.ndarray, place: np.ndarray) -> np.ndarray:
-            return _mixed(total + _mixed(place + count))
 
-        empty = count == 0
-        replaced = empty & (np.arange(m) >= twos) if ones > 1 else np.zeros(m, bool)
-        out.append(key(total, count, place)[~replaced])
-        if twos:
-            at = part < np.uint64(twos)
-            out.append(key(less_one[at], less_count[at], place[part[at].astype(int)]))
-        for i in np.flatnonzero(replaced):
-            others = np.arange(m) != i
-            salt = _mixed(place + np.uint64(i + 1))
-            out.append(key(total, count, salt)[others])
-            out.append(key(less_one, less_count, salt[part.astype(int)]))
-    return np.unique(np.concatenate(out)).view(np.int64)
+def _beside_empty(i: int, w: int, total: np.ndarray, count: np.ndarray, own: np.ndarray, edge: np.ndarray,
+                  place: np.ndarray) -> Iterator[np.ndarray]:
+    """Posting keys that stand for the empty segment ``i`` of a set with ``w`` empty segments."""
+    m = len(count)
+    start = frozenset([i])
+    todo, seen = [start], {start}
+    while todo:
+        used = todo.pop()
+        salt = _mixed(place[i : i + 1] + np.uint64(1 << 62)) + place[list(used - {i})].sum(dtype=np.uint64)
+        following = [j % m for j in range(i + 1, i + m) if j % m not in used][:w]
+        for j in following:
+            beside = _mixed(salt + _mixed(place[j : j + 1]))
+            n = count[j]
+            if n:
+                yield _mixed(total[j] + _mixed(beside + n))
+            if n > 1:
+                yield _mixed(total[j] - own[edge[j] : edge[j + 1]] + _mixed(beside + n - np.uint64(1)))
+            elif used | {j} not in seen:  # nothing is left of the neighbour: its successors tell
+                seen.add(used | {j})
+                todo.append(used | {j})
 
 
 SETS = "doc_id long, n_shingles long, set_id long, keys array<long>"
