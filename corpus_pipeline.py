@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalbox.llm import cube_mix, jaccard_join, line_quality, packing, secret_forest
-from signalbox.llm.common import col, landed, table
+from signalbox.llm.common import col, landed, small_batches, table
 from signalbox.llm.token_ids import vocabulary_path
 
 # Near duplicates: shingles of five words, similarity of 80 % or more.
@@ -20,6 +20,7 @@ WORDS, PERCENT = 5, 80
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines leave the texts; rejected documents go."""
+    small_batches(spark)
     other = {c: f"c{i}" for i, c in enumerate(docs.columns) if c not in ("text", "source")}
     plain = docs.select(*[col(c).alias(other.get(c, c)) for c in docs.columns])
     kept = line_quality.judge(plain, clean_text=True).filter("kept")
@@ -38,21 +39,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays, that of the smallest id."""
+    small_batches(spark)
     return jaccard_join.one_per_class(docs, WORDS, PERCENT)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
+    small_batches(spark)
     return secret_forest.redact(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    small_batches(spark)
     return cube_mix.mixed_rows(docs)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed token sequences."""
+    small_batches(spark)
     return packing.pack(docs, vocabulary_path("word_bpe_49k.json"))
 
 

@@ -56,6 +56,25 @@ def utf8(column: str | Column) -> Column:
     return F.coalesce((col(column) if isinstance(column, str) else column).cast("binary"), F.lit(b""))
 
 
+_WORKER_CACHES: dict[str, object] = {}
+
+
+def worker_cache(name: str, make: Callable[[], object]):
+    """An object that a Python worker keeps from task to task; another name frees it.
+
+    Workers outlive a query, so only the running operator's cache stays in memory.
+    """
+    if name not in _WORKER_CACHES:
+        _WORKER_CACHES.clear()
+        _WORKER_CACHES[name] = make()
+    return _WORKER_CACHES[name]
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts go to Python in batches of at most ``rows``, which bounds the workers' memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """``mapInArrow`` for functions that turn one batch into columns by name."""
     from pyspark.sql.pandas.types import to_arrow_schema

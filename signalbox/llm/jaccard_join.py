@@ -45,16 +45,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from signalbox.llm.common import col, landed, sized_broadcast, utf8
+from signalbox.llm.common import col, landed, sized_broadcast, utf8, worker_cache
 from signalbox.llm.components import components
 
 WORDS = 3
 PERCENT = 90
 BLOCK_SETS = 512
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 SEEN_SETS = 100_000
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_HASHES: dict[bytes, int] = {}
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -74,11 +73,12 @@ def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(w) < words:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(w), seed=len(w))], np.uint64)
-    if len(_HASHES) > KEPT_WORDS:
-        _HASHES.clear()
-    for x in set(w).difference(_HASHES):
-        _HASHES[x] = xxhash.xxh3_64_intdigest(x)
-    h = np.fromiter(map(_HASHES.__getitem__, w), np.uint64, len(w))
+    known = worker_cache("word hashes", dict)
+    if len(known) > KEPT_WORDS:
+        known.clear()
+    for x in set(w).difference(known):
+        known[x] = xxhash.xxh3_64_intdigest(x)
+    h = np.fromiter(map(known.__getitem__, w), np.uint64, len(w))
     n = len(w) - words + 1
     total = np.zeros(n, np.uint64)
     for i in range(words):

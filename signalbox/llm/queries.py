@@ -19,7 +19,7 @@ from signalbox.llm import (
     warc_chunks,
     wordpiece_count,
 )
-from signalbox.llm.common import table
+from signalbox.llm.common import small_batches, table
 from signalbox.llm.token_ids import vocabulary_path
 
 
@@ -90,7 +90,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_warc_chunk_table, op2_license_scan, op3_sum_of_squares_packing, op4_bitslice_topk, op5_line_frequency,
         op6_wordpiece_counts, op7_jaccard_components, op8_bitpacked_ids, op9_cube_mix, op10_secret_forest,
     )
-    return {f.__name__: f for f in ops}
+
+    def bind(op):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return op(spark, sf_dir)
+
+        run.__name__, run.__doc__ = op.__name__, op.__doc__
+        return run
+
+    return {op.__name__: bind(op) for op in ops}
 
 
 _OP1 = """

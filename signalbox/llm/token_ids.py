@@ -19,16 +19,16 @@ import os
 import re
 from array import array
 
+from signalbox.llm.common import worker_cache
 from signalbox.llm.wordpiece_count import byte_alphabet
 
 END_ID = 2
-KEPT_PIECES = 700_000  # pieces kept per worker; the dictionary starts anew when it is full
+KEPT_PIECES = 500_000  # pieces kept per worker; the dictionary starts anew when it is full
 KEPT_CHARS = 48  # longer pieces are encoded each time
 _SPACE_RUN = re.compile(r"\s ")
 _ANY_RUN = re.compile(r"\s\s|\s\Z")
 # Letters whose small letters and composed forms are single letters as well.
 _LETTERS = re.compile("\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+").fullmatch
-_ENCODERS: dict[str, PieceEncoder] = {}
 
 
 def vocabulary_path(name: str) -> str:
@@ -40,9 +40,7 @@ def vocabulary_path(name: str) -> str:
 
 def encoder(path: str) -> PieceEncoder:
     """The worker's encoder of a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    return worker_cache(f"pieces of {path}", lambda: PieceEncoder(path))
 
 
 class PieceEncoder(dict):

@@ -23,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalbox.llm.common import map_batches, utf8
+from signalbox.llm.common import map_batches, utf8, worker_cache
 
-KEPT_WORDS = 500_000
+KEPT_WORDS = 400_000
 # A word is a run of bytes that are neither white space, control nor ASCII
 # punctuation, or one ASCII punctuation mark.
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[!-/:-@\[-`{-~]")
@@ -119,13 +119,8 @@ class LongestMatchCounter:
         return total
 
 
-_WORKER: dict[str, tuple[LongestMatchCounter, dict[bytes, int]]] = {}
-
-
 def _counter(path: str) -> tuple[LongestMatchCounter, dict[bytes, int]]:
-    if path not in _WORKER:
-        _WORKER[path] = LongestMatchCounter(*word_pieces(path)), {}
-    return _WORKER[path]
+    return worker_cache(f"automaton of {path}", lambda: (LongestMatchCounter(*word_pieces(path)), {}))
 
 
 SCHEMA = "doc_id long, n_words long, n_tokens long, n_unknown long"
