@@ -74,7 +74,7 @@ def test_license_places_equal_brute_force(spark):
     rng = random.Random(4)
     vocabulary = "under the mit license apache version 2 cc by nc gnu general public 3 all rights reserved x".split()
     texts = ["".join(rng.choice(vocabulary).upper() + rng.choice([" ", ", ", "\n", "-"]) for _ in range(rng.randint(0, 300)))
-             for _ in range(200)] + ["Released under the MIT License. CC-BY-NC; Apache License, Version 2.0", None, ""]
+             for _ in range(600)] + ["Released under the MIT License. CC-BY-NC; Apache License, Version 2.0", None, ""]
     got = L.scan_licenses(docs_frame(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()
     phrases = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
     hits = 0
@@ -212,13 +212,14 @@ def test_measures_equal_brute_force():
 def test_boilerplate_goes_and_copies_stay(spark):
     rng = random.Random(9)
     prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
-    rows = [(i, f"{prose(60)}\nShare  this PAGE {i}", "h") for i in range(100, 140)]
-    rows += [(i, "\n".join([prose(15)] + ["share this page 1 " + "menu " * 0] + ["Share this page 9"] * 30), "h") for i in (1, 2)]
+    menu = "\n".join(f"{prose(4)} 10{k % 10}" for k in range(12))
+    rows = [(i, f"{prose(60)}\n{menu.upper()}", "h") for i in range(100, 140)]
+    rows += [(i, f"{prose(15)}\n{menu}", "h") for i in (1, 2)]
     copy = prose(80)
-    rows += [(i, copy, "h") for i in range(200, 260)] + [(3, None, "h"), (4, "", None), (5, f"{prose(60)}\nShare this page 3", None)]
+    rows += [(i, copy, "h") for i in range(200, 260)] + [(3, None, "h"), (4, "", None), (5, f"{prose(60)}\n{menu}", None)]
     got = {r.doc_id: r for r in Q.judge(docs_frame(spark, rows), clean_text=True).collect()}
-    assert all(got[i].kept and got[i].removed_words == 4 and "PAGE" not in got[i].clean_text for i in range(100, 140))
-    assert not got[1].kept and got[1].removed_words == 31 * 4
+    assert all(got[i].kept and got[i].removed_words == 60 and "\n" not in got[i].clean_text for i in range(100, 140))
+    assert not got[1].kept and not got[1].base_failed and got[1].removed_words == 60
     assert all(got[i].kept and got[i].clean_text == copy for i in range(200, 260))
     assert not got[3].kept and got[3].clean_text is None and not got[4].kept
     assert got[5].kept and got[5].removed_words == 0
@@ -282,9 +283,10 @@ def test_mix_meets_targets_and_agrees(spark):
     taken = {}
     for r in got:
         assert r.taken % max(r.size, 1) == 0 and r.taken <= 2 * r.size
-        taken[r.target] = taken.get(r.target, 0) + r.taken
-    assert sorted(taken) == pytest.approx(sorted(set(want.values())))
-    for t, n in taken.items():
+        key = (r.source_size, r.target)
+        taken[key] = taken.get(key, 0) + r.taken
+    assert {round(t, 6) for _, t in taken} == {round(t, 6) for t in want.values()}
+    for (_, t), n in taken.items():
         if t > 100:
             assert abs(n - t) <= 60
     assert sorted(map(repr, got)) == sorted(map(repr, M.mix(docs.repartition(7)).collect()))
