@@ -45,9 +45,11 @@ def fold_batch(spark: SparkSession, sink, clean_path: str, batch_id: int, kind:
     fresh = keep_first(batch, key, [F.col("inserted_at")]).drop("inserted_at")
     fs, root = _hadoop_fs(spark, clean_path)
     if fs.exists(root):
-        days = fresh.select(DATE_COLUMN).distinct()
+        days = fresh.select(F.col(DATE_COLUMN).alias("touched_day")).distinct()
         existing = spark.read.schema(clean_schema(schema)).parquet(clean_path).select(*key, DATE_COLUMN)
-        existing = join_small(existing, days, DATE_COLUMN, "left_semi")  # only touched days
+        # Only touched days; rows without a date are a day of their own.
+        existing = join_small(
+            existing, days, existing[DATE_COLUMN].eqNullSafe(days["touched_day"]), "left_semi")
         cond = reduce(lambda a, b: a & b,
                       [fresh[c].eqNullSafe(existing[c]) for c in key + [DATE_COLUMN]])
         fresh = fresh.join(existing, cond, "left_anti")
