@@ -69,7 +69,7 @@ def cmd_stream(spark, a):
     clean = IncrementalClean(spark, sink, a.clean) if a.clean else None
     after = None
     if a.detect == "incremental":
-        after = IncrementalDetection(spark, sink, a.anomalies, dim_rows, outlier_every=a.outlier_every, clean=clean)
+        after = IncrementalDetection(spark, sink, a.anomalies, dim_rows, clean=clean)
     elif a.detect == "full":
         def after(batch_id):
             run_detection(spark, sink, a.anomalies, dim_rows)
@@ -78,6 +78,8 @@ def cmd_stream(spark, a):
     trigger = {"availableNow": True} if a.available_now else None
     query = start_feed_stream(spark, a.feed, a.checkpoint, dim, sink, dim_rows, after, trigger, a.max_files)
     run_until_stopped(query)
+    if hasattr(after, "catch_up"):
+        after.catch_up()
     return query
 
 
@@ -165,7 +167,6 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--clean", help="maintain deduplicated tables here (read by incremental detection)")
     s.add_argument("--detect", choices=["none", "incremental", "full"], default="incremental")
     s.add_argument("--anomalies", help="anomaly table folder (needed unless --detect none)")
-    s.add_argument("--outlier-every", type=int, default=10)
     s.add_argument("--max-files", type=int, default=10)
     s.add_argument("--available-now", action="store_true", help="drain the folder and stop")
     s.set_defaults(run=cmd_stream)

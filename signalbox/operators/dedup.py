@@ -57,33 +57,34 @@ ANOMALY_KEY = [
 ]
 
 
-def _present(df: DataFrame, keys: Sequence[str]) -> list[str]:
-    return [k for k in keys if k in df.columns]
+def _keyed(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """``keep_first`` on a complete key; a missing key column is an error."""
+    missing = [k for k in keys if k not in df.columns]
+    if missing:
+        raise ValueError(f"key columns missing from the table: {', '.join(missing)}")
+    return keep_first(df, keys, order)
 
 
 def dedup_movements_on_write(df: DataFrame) -> DataFrame:
     """D-01."""
-    return keep_first(df, _present(df, MOVEMENT_WRITE_KEY))
+    return _keyed(df, MOVEMENT_WRITE_KEY)
 
 
 def dedup_cancellations_on_write(df: DataFrame) -> DataFrame:
     """D-02."""
-    return keep_first(df, _present(df, CANCELLATION_WRITE_KEY))
+    return _keyed(df, CANCELLATION_WRITE_KEY)
 
 
 def dedup_movements(df: DataFrame) -> DataFrame:
     """D-03: read-time movement dedup (drops cross-batch replays)."""
-    keys = _present(df, MOVEMENT_READ_KEY) or df.columns
-    return keep_first(df, keys, _insert_order(df))
+    return _keyed(df, MOVEMENT_READ_KEY, _insert_order(df))
 
 
 def dedup_cancellations(df: DataFrame) -> DataFrame:
     """D-04."""
-    keys = _present(df, CANCELLATION_READ_KEY) or df.columns
-    return keep_first(df, keys, _insert_order(df))
+    return _keyed(df, CANCELLATION_READ_KEY, _insert_order(df))
 
 
 def dedup_anomalies(df: DataFrame) -> DataFrame:
     """D-05."""
-    keys = _present(df, ANOMALY_KEY) or df.columns
-    return keep_first(df, keys, _insert_order(df))
+    return _keyed(df, ANOMALY_KEY, _insert_order(df))

@@ -25,9 +25,8 @@ def build_session(
 ) -> SparkSession:
     """Session for tests, benchmarks and local runs (UI off).
 
-    ``spark.checkpoint.dir`` is only given a local folder here, where no
-    cluster setting exists; cluster jobs take the shared folder from their
-    deployment configuration.
+    A ``spark.checkpoint.dir`` of the deployment (``spark-defaults.conf``) is
+    kept; ``checkpoint_base`` makes a folder only where none is set.
     """
     conf = {**REQUIRED_CONF, **(extra_conf or {})}
     builder = (
@@ -37,8 +36,6 @@ def build_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    if "spark.checkpoint.dir" not in conf:
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="signalbox-ckpt-")
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -56,6 +53,8 @@ def checkpoint_base(spark: SparkSession) -> str:
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if sc.getCheckpointDir() is not None:
+            return sc.getCheckpointDir()
         if not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; cluster jobs need a shared folder for "

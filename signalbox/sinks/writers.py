@@ -211,19 +211,25 @@ def current_snapshot(spark: SparkSession, path: str) -> str | None:
     return done[-1] if done else None
 
 
-def prune_snapshots(spark: SparkSession, path: str, keep: int = 3) -> list[str]:
+def prune_snapshots(
+    spark: SparkSession, path: str, keep: int = 3, older_than_seconds: float = 0
+) -> list[str]:
     """Delete all but the newest ``keep`` finished snapshots; returns the deleted ones.
 
     Keeping more than one lets readers that started on an older snapshot
-    finish. Unfinished folders (a failed write) older than the current
+    finish; a snapshot also stays until ``older_than_seconds`` have passed
+    since the next one was published. Unfinished folders (a failed write) older than the current
     snapshot are deleted too; newer unfinished ones may still be in progress.
     """
     done = _finished_snapshots(spark, path)
     if not done:
         return []
-    old = done[: max(0, len(done) - max(keep, 1))]
     fs, root = _hadoop_fs(spark, path)
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    limit = (time.time() - older_than_seconds) * 1000
+    published = [int(hpath(d).getName().removeprefix("v=")) for d in done]
+    old = [d for d, successor in zip(done[: max(0, len(done) - max(keep, 1))], published[1:])
+           if successor <= limit]
     current = hpath(done[-1]).getName()
     finished = {hpath(d).getName() for d in done}
     for status in fs.listStatus(root):

@@ -5,8 +5,8 @@ ingested micro-batch into the clean table: the batch is deduplicated on the
 read-time key (D-03 / D-04), anti-joined (null-safe) with the clean rows of
 only the event dates the batch touches (partition pruning), and the remaining
 rows are appended under ``event_date=<d>``. Earlier deliveries win, exactly
-as in the read-time dedup ordered by insert time; replaying a batch appends
-nothing.
+as in the read-time dedup ordered by insert time; folding a batch again
+appends nothing, so batches whose fold failed are taken up by the next call.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from signalbox.operators.dedup import CANCELLATION_READ_KEY, MOVEMENT_READ_KEY,
 from signalbox.operators.joins import join_small
 from signalbox.schemas import CANCELLATION_TABLE_SCHEMA, MOVEMENT_TABLE_SCHEMA
 from signalbox.sinks.writers import BATCH_COLUMN, DATE_COLUMN, _hadoop_fs
+from signalbox.streaming.progress import BatchStep, in_batches
 
 KINDS = {
     "movements": (MOVEMENT_TABLE_SCHEMA, MOVEMENT_READ_KEY, "read_movements_with_batch"),
@@ -37,12 +38,12 @@ def read_clean_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return spark.read.schema(clean_schema(schema)).parquet(path).select(*schema.fieldNames())
 
 
-def fold_batch(spark: SparkSession, sink, clean_path: str, batch_id: int, kind: str) -> None:
-    """Append the new rows of ``batch_id`` to the clean table of ``kind``."""
+def fold_batches(spark: SparkSession, sink, clean_path: str, first: int, last: int, kind: str) -> None:
+    """Append the new rows of the batches ``first`` to ``last`` to the clean table of ``kind``."""
     schema, key, reader = KINDS[kind]
     table = getattr(sink, reader)(spark)
-    batch = table.filter(F.col(BATCH_COLUMN) == batch_id).drop(BATCH_COLUMN)
-    fresh = keep_first(batch, key, [F.col("inserted_at")]).drop("inserted_at")
+    batches = table.filter(in_batches(first, last)).drop(BATCH_COLUMN)
+    fresh = keep_first(batches, key, [F.col("inserted_at")]).drop("inserted_at")
     fs, root = _hadoop_fs(spark, clean_path)
     if fs.exists(root):
         days = fresh.select(F.col(DATE_COLUMN).alias("touched_day")).distinct()
@@ -57,20 +58,16 @@ def fold_batch(spark: SparkSession, sink, clean_path: str, batch_id: int, kind:
         clean_path)
 
 
-class IncrementalClean:
+class IncrementalClean(BatchStep):
     """``after_write`` step: fold each batch into both clean tables."""
 
     def __init__(self, spark: SparkSession, sink, base_path: str, then=None):
-        self.spark = spark
-        self.sink = sink
+        super().__init__(spark, sink, base_path, then)
         self.base = base_path.rstrip("/")
-        self.then = then
 
     def path(self, kind: str) -> str:
         return f"{self.base}/{kind}"
 
-    def __call__(self, batch_id: int) -> None:
+    def process(self, first: int, last: int) -> None:
         for kind in KINDS:
-            fold_batch(self.spark, self.sink, self.path(kind), batch_id, kind)
-        if self.then is not None:
-            self.then(batch_id)
+            fold_batches(self.spark, self.sink, self.path(kind), first, last, kind)

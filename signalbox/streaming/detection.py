@@ -4,20 +4,21 @@ Re-running detection over the whole history after every micro-batch (what a
 plain ``after_write=run_detection`` does) costs a full scan per trigger. This
 step does only the work a batch can change:
 
-* large delays (X-01) are row-local: detect on the batch's own rows;
+* large delays (X-01) are row-local: detect on the new batches' rows;
 * cancellation spikes (X-03): recount only the (station, bucket) pairs the
-  batch touched, over the deduplicated history of those buckets (a range
+  new batches touched, over the deduplicated history of those buckets (a range
   filter on the time column that Parquet statistics can prune, plus a
   broadcast semi-join with the touched pairs, bounded by the batch size);
-* station outliers (X-02) depend on whole-station statistics, so they are
-  recomputed over the deduplicated history every ``outlier_every`` batches.
-
-Rows are written to ``<path>/batch_id=<n>`` with a ``kind`` column; a replayed
-batch replaces its own partition. ``read_incremental_anomalies`` combines the
-partitions: all large-delay rows, the latest count per spike bucket (kept
-only while it still reaches the threshold), and the outlier rows of the latest
-recompute; the result equals a full recompute as of that recompute, after the
-anomaly-key dedup (D-05) that readers apply.
+* station outliers (X-02) depend on whole-station statistics, so every call
+  recomputes them over the deduplicated history and publishes them as a
+  complete snapshot under ``<path>/_outliers``.
+
+Large delays and spikes are written to ``<path>/batch_id=<n>`` with a ``kind``
+column. A call works on every batch since the last finished one, so a failed
+call is made up for by the next. ``read_incremental_anomalies`` combines the
+parts: large-delay rows once per anomaly key (D-05), the latest count per
+spike bucket (kept only while it still reaches the threshold), and the newest
+outlier snapshot; after D-05 the result equals a full recompute.
 """
 
 from __future__ import annotations
@@ -36,13 +37,27 @@ from signalbox.operators.anomaly import (
 )
 from signalbox.operators.joins import join_small
 from signalbox.schemas import ANOMALY_COLUMNS, ANOMALY_SCHEMA
-from signalbox.sinks.writers import BATCH_COLUMN, DATE_COLUMN, stored_schema, write_batch_partition
+from signalbox.sinks.writers import (
+    BATCH_COLUMN,
+    DATE_COLUMN,
+    prune_snapshots,
+    read_snapshot,
+    replace_snapshot,
+    stored_schema,
+    write_batch_partition,
+)
 from signalbox.streaming.clean import KINDS, IncrementalClean, clean_schema
+from signalbox.streaming.progress import BatchStep, in_batches
+
+KIND_LARGE, KIND_SPIKE = "large_delay", "cancellation_spike"
+SNAPSHOT_AGE_SECONDS = 3600  # superseded outlier snapshots stay readable this long
+
 
-KIND_LARGE, KIND_SPIKE, KIND_OUTLIER = "large_delay", "cancellation_spike", "station_delay_outlier"
+def _outlier_path(path: str) -> str:
+    return f"{path.rstrip('/')}/_outliers"
 
 
-class IncrementalDetection:
+class IncrementalDetection(BatchStep):
     """``after_write`` callback for ``start_feed_stream``."""
 
     def __init__(
@@ -51,17 +66,14 @@ class IncrementalDetection:
         sink,
         path: str,
         station_bound: int | None = None,
-        outlier_every: int = 10,
         spike_window: str = C.CANCELLATION_SPIKE_WINDOW,
         clean: "IncrementalClean | None" = None,
     ):
         """``clean``: an ``IncrementalClean`` run before this step; its tables
         are then the deduplicated history (no re-deduplication here)."""
-        self.spark = spark
-        self.sink = sink
+        super().__init__(spark, sink, path)
         self.path = path.rstrip("/")
         self.station_bound = station_bound
-        self.outlier_every = max(1, outlier_every)
         self.spike_window = spike_window
         self.clean = clean
 
@@ -70,38 +82,33 @@ class IncrementalDetection:
             return None
         return self.spark.read.schema(clean_schema(KINDS[kind][0])).parquet(self.clean.path(kind))
 
-    def _batch(self, table: DataFrame, batch_id: int) -> DataFrame:
-        return table.filter(F.col(BATCH_COLUMN) == batch_id)
-
-    def __call__(self, batch_id: int) -> None:
+    def process(self, first: int, last: int) -> None:
         mv_table = self.sink.read_movements_with_batch(self.spark)
         cx_table = self.sink.read_cancellations_with_batch(self.spark)
 
-        new_mv = self._batch(mv_table, batch_id).drop(BATCH_COLUMN, DATE_COLUMN, "inserted_at")
+        new_mv = mv_table.filter(in_batches(first, last)).drop(BATCH_COLUMN, DATE_COLUMN, "inserted_at")
         large = detect_large_delays(new_mv).withColumn("kind", F.lit(KIND_LARGE))
+        spikes = self._touched_spikes(cx_table, first, last).withColumn("kind", F.lit(KIND_SPIKE))
+        write_batch_partition(large.unionByName(spikes), self.path, last)
 
-        spikes = self._touched_spikes(cx_table, batch_id).withColumn("kind", F.lit(KIND_SPIKE))
-        parts = large.unionByName(spikes)
-
-        if batch_id % self.outlier_every == 0:
-            history = self._clean_history("movements")
-            if history is None:
-                history = dedup.dedup_movements(mv_table.drop(BATCH_COLUMN, DATE_COLUMN)).drop("inserted_at")
-            else:
-                history = history.drop(DATE_COLUMN)
-            outliers = detect_station_delay_outliers(history, station_bound=self.station_bound)
-            parts = parts.unionByName(outliers.withColumn("kind", F.lit(KIND_OUTLIER)))
-        write_batch_partition(parts, self.path, batch_id)
+        history = self._clean_history("movements")
+        if history is None:
+            history = dedup.dedup_movements(mv_table.drop(BATCH_COLUMN, DATE_COLUMN)).drop("inserted_at")
+        else:
+            history = history.drop(DATE_COLUMN)
+        outliers = detect_station_delay_outliers(history, station_bound=self.station_bound)
+        replace_snapshot(outliers, _outlier_path(self.path))
+        prune_snapshots(self.spark, _outlier_path(self.path), older_than_seconds=SNAPSHOT_AGE_SECONDS)
 
-    def _touched_spikes(self, cx_table: DataFrame, batch_id: int) -> DataFrame:
-        """Counts of every (station, bucket) the batch touched, over the deduplicated history.
+    def _touched_spikes(self, cx_table: DataFrame, first: int, last: int) -> DataFrame:
+        """Counts of every (station, bucket) the batches touched, over the deduplicated history.
 
         Counts below the threshold are kept too (score = count), so a later
         reader can see that a bucket no longer qualifies; they are dropped on read.
         """
         bucket = F.window(epoch_ms_to_ts("canx_timestamp"), self.spike_window).start
         touched = (
-            self._batch(cx_table, batch_id)
+            cx_table.filter(in_batches(first, last))
             .select(F.col("local_name").alias("station"), bucket.alias("bucket"))
             .filter(F.col("station").isNotNull() & F.col("bucket").isNotNull())
             .distinct()
@@ -135,11 +142,9 @@ def read_incremental_anomalies(
     """Current anomalies from the incremental partitions (see module doc)."""
     schema = stored_schema(T.StructType(ANOMALY_SCHEMA.fields + [T.StructField("kind", T.StringType())]))
     rows = spark.read.schema(schema).parquet(path)
-    large = rows.filter(F.col("kind") == KIND_LARGE)
+    large = dedup.dedup_anomalies(rows.filter(F.col("kind") == KIND_LARGE).select(*ANOMALY_COLUMNS))
     spikes = dedup.keep_first(
         rows.filter(F.col("kind") == KIND_SPIKE), ["local_name", "event_timestamp"], [-F.col(BATCH_COLUMN)]
     ).filter(F.col("anomaly_score") >= threshold)
-    outlier_rows = rows.filter(F.col("kind") == KIND_OUTLIER)
-    latest = outlier_rows.agg(F.max(BATCH_COLUMN).alias(BATCH_COLUMN))
-    outliers = outlier_rows.join(F.broadcast(latest), BATCH_COLUMN, "left_semi")  # one-row frame
-    return large.unionByName(spikes).unionByName(outliers).select(*ANOMALY_COLUMNS)
+    outliers = read_snapshot(spark, _outlier_path(path))
+    return large.unionByName(spikes.select(*ANOMALY_COLUMNS)).unionByName(outliers.select(*ANOMALY_COLUMNS))

@@ -33,7 +33,8 @@ def process_feed_batch(
 
     The parsed batch is kept for the duration of the call because two writes
     read it. ``after_write(batch_id)`` (e.g. anomaly detection) runs after
-    both writes; its failure is logged and does not fail the batch.
+    both writes; its failure is logged and does not fail the batch. A
+    ``BatchStep`` makes up for it in its next call or in ``catch_up``.
     """
     batch = batch.select("header", "body").persist(StorageLevel.MEMORY_AND_DISK)
     try:

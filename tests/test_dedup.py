@@ -59,3 +59,12 @@ def test_dedup_is_idempotent_and_order_independent(spark, items, seed):
     assert rows(a) == rows(b)
     assert rows(dedup.dedup_movements(a)) == rows(a)
     assert a.count() == len(set(data))
+
+
+def test_missing_key_column_is_an_error(spark):
+    import pytest
+
+    df = movement_table(spark, [])
+    for call in (dedup.dedup_movements, dedup.dedup_movements_on_write):
+        with pytest.raises(ValueError, match="planned_timestamp"):
+            call(df.drop("planned_timestamp"))

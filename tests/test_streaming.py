@@ -172,7 +172,7 @@ def test_incremental_detection_equals_full_recompute(spark, tmp_dir):
     dim = _dim(spark)
     sink = ParquetFactSink(out)
     clean = IncrementalClean(spark, sink, os.path.join(tmp_dir, "clean"))
-    clean.then = IncrementalDetection(spark, sink, ab, station_bound=2, outlier_every=1, clean=clean)
+    clean.then = IncrementalDetection(spark, sink, ab, station_bound=2, clean=clean)
     q = mb.start_feed_stream(spark, src, ckpt, dim, sink, after_write=clean,
                              trigger={"availableNow": True}, max_files_per_trigger=1)
     q.awaitTermination()
@@ -221,7 +221,7 @@ def test_feed_window_stream_counts_replays_once(spark, tmp_dir):
 
 
 def test_incremental_clean_tables_equal_full_dedup(spark, tmp_dir):
-    from signalbox.streaming.clean import IncrementalClean, read_clean_table
+    from signalbox.streaming.clean import IncrementalClean, fold_batches, read_clean_table
 
     src, out, ckpt, clean = (os.path.join(tmp_dir, d) for d in ("src", "out", "ckpt", "clean"))
     os.makedirs(src)
@@ -246,9 +246,93 @@ def test_incremental_clean_tables_equal_full_dedup(spark, tmp_dir):
     q = mb.start_feed_stream(spark, src, ckpt, _dim(spark), sink, after_write=step,
                              trigger={"availableNow": True}, max_files_per_trigger=1)
     q.awaitTermination()
-    step(2)  # replaying the last fold appends nothing
+    step(2)  # a finished batch is not folded again
+    for kind in ("movements", "cancellations"):  # and folding it again appends nothing
+        fold_batches(spark, sink, step.path(kind), 0, 2, kind)
     full_mv = dedup.dedup_movements(sink.read_movements(spark)).drop("inserted_at")
     full_cx = dedup.dedup_cancellations(sink.read_cancellations(spark)).drop("inserted_at")
     assert rows(read_clean_table(spark, step.path("movements"), "movements")) == rows(full_mv)
     assert rows(read_clean_table(spark, step.path("cancellations"), "cancellations")) == rows(full_cx)
     assert full_mv.count() == 9 and full_cx.count() == 3
+
+
+def _run_files(spark, tmp_dir, files, after, sink):
+    import time
+
+    src, ckpt = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "ckpt")
+    os.makedirs(src)
+    now = time.time()
+    for n, batch in enumerate(files):
+        _land(src, f"f{n}.json", batch)
+        os.utime(os.path.join(src, f"f{n}.json"), (now - 100 + n, now - 100 + n))
+    mb.start_feed_stream(spark, src, ckpt, _dim(spark), sink, after_write=after,
+                         trigger={"availableNow": True}, max_files_per_trigger=1).awaitTermination()
+
+
+def test_failed_steps_are_caught_up_with_replays_and_null_times(spark, tmp_dir):
+    """Each step fails once, one of them in the last batch; rows without a time are replayed."""
+    from signalbox.plans.detection import detect_from_tables
+    from signalbox.streaming.clean import IncrementalClean, read_clean_table
+    from signalbox.streaming.detection import IncrementalDetection, read_incremental_anomalies
+
+    mv = [_msg(i, delay_ms=60_000) for i in range(1, 28, 2)] + [_msg(51, delay_ms=7_200_000)]
+    large = [_msg(60 + i, delay_ms=1_900_000, train=f"L{i}") for i in range(2)]
+    cx = [_msg(100 + i, "0002") for i in range(12)]
+    timeless = [_msg(200, train="N"), _msg(201, "0002", train="N")]
+    timeless[0]["body"]["actual_timestamp"] = None
+    timeless[1]["body"]["canx_timestamp"] = None
+    files = [mv[:6] + cx[:4] + timeless, mv[6:12] + cx[4:8] + large[:1] + timeless,
+             mv[12:] + cx[8:] + [cx[0], mv[0]] + large[1:] + timeless]
+
+    class Once:
+        """Raises the first time ``batch`` is the last one worked on."""
+
+        def __init__(self, step, batch):
+            self.work, self.batch, self.raised = step.process, batch, False
+            step.process = self
+
+        def __call__(self, first, last):
+            if last == self.batch and not self.raised:
+                self.raised = True
+                raise OSError("transient")
+            self.work(first, last)
+
+    sink = ParquetFactSink(os.path.join(tmp_dir, "out"))
+    ab = os.path.join(tmp_dir, "ab")
+    clean = IncrementalClean(spark, sink, os.path.join(tmp_dir, "clean"))
+    detect = IncrementalDetection(spark, sink, ab, station_bound=2, clean=clean)
+    clean.then = detect
+    faults = [Once(clean, 1), Once(detect, 2)]
+    _run_files(spark, tmp_dir, files, clean, sink)
+    assert all(f.raised for f in faults)
+    assert clean.progress.done() == 2 and detect.progress.done() == 0
+    clean.catch_up()
+    assert detect.progress.done() == 2
+
+    full_mv = dedup.dedup_movements(sink.read_movements(spark)).drop("inserted_at")
+    full_cx = dedup.dedup_cancellations(sink.read_cancellations(spark)).drop("inserted_at")
+    assert rows(read_clean_table(spark, clean.path("movements"), "movements")) == rows(full_mv)
+    assert rows(read_clean_table(spark, clean.path("cancellations"), "cancellations")) == rows(full_cx)
+    assert full_mv.filter("train_id = 'N'").count() == 1 and full_cx.filter("train_id = 'N'").count() == 1
+    full = dedup.dedup_anomalies(detect_from_tables(spark, sink))
+    found = dedup.dedup_anomalies(read_incremental_anomalies(spark, ab))
+    kinds = [r.anomaly_type for r in full.collect()]
+    assert {k: kinds.count(k) for k in kinds} == {
+        "cancellation_spike": 2, "large_delay": 3, "station_delay_outlier": 1}
+    # z scores come from sums of doubles, whose last digits follow the summation order
+    score = F.round("anomaly_score", 9)
+    assert rows(found.withColumn("anomaly_score", score)) == rows(full.withColumn("anomaly_score", score))
+
+
+def test_steps_refuse_a_sink_that_cannot_read_batches(spark, tmp_dir):
+    import pytest
+
+    from signalbox.sinks.writers import JdbcFactSink
+    from signalbox.streaming.clean import IncrementalClean
+    from signalbox.streaming.detection import IncrementalDetection
+
+    sink = JdbcFactSink("jdbc:none")
+    with pytest.raises(TypeError, match="single batches"):
+        IncrementalClean(spark, sink, tmp_dir)
+    with pytest.raises(TypeError, match="single batches"):
+        IncrementalDetection(spark, sink, tmp_dir)
