@@ -35,7 +35,7 @@ def test_jobs_end_to_end(spark, tmp_dir):
     assert stats["late_delay_by_location"].count() == 1
 
     cli.main(["stream", "--feed", feed, "--corpus", corpus, "--tables", d("tables"), "--checkpoint", d("ckpt"),
-              "--anomalies", d("inc"), "--clean", d("clean"), "--outlier-every", "1", "--max-files", "1",
+              "--anomalies", d("inc"), "--clean", d("clean"), "--max-files", "1",
               "--available-now"], spark=spark)
     from signalbox.streaming.clean import read_clean_table
 
