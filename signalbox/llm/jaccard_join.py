@@ -249,33 +249,38 @@ def _postings_to_edges(sets: DataFrame) -> DataFrame:
     return linked.select(F.col("set_id").alias("u"), F.col("first").alias("v")).distinct()
 
 
-def membership(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(0/1 matrix sets x column groups, weights): elements with the same owners are one column."""
+def membership(sets: list[np.ndarray], columns: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(0/1 matrix sets x column groups, weights): elements with the same owners are one column.
+
+    Elements of a single set have no column. At most ``columns`` columns are made at a time.
+    """
     every = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
     order = np.argsort(every, kind="stable")
     every, owner = every[order], owner[order]
+    del order
     start = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-    mark = _mixed(owner.astype(np.uint64) + np.uint64(1)) | np.uint64(1)
-    pattern = np.add.reduceat(mark, start)
     length = np.diff(np.append(start, len(every)))
+    del every
+    pattern = np.add.reduceat(_mixed(owner.astype(np.uint64) + np.uint64(1)) | np.uint64(1), start)
     shared = length > 1
-    kinds, first, weight = np.unique(pattern[shared], return_index=True, return_counts=True)
+    _, first, weight = np.unique(pattern[shared], return_index=True, return_counts=True)
     where, size = start[shared][first], length[shared][first]
-    matrix = np.zeros((len(sets), len(kinds)), np.float32)
-    for c, (at, n) in enumerate(zip(where, size, strict=True)):
-        matrix[owner[at : at + n], c] = 1
-    return matrix, weight.astype(np.float32)
+    for at in range(0, len(where), columns):
+        n = size[at : at + columns]
+        column = np.repeat(np.arange(len(n)), n)
+        within = np.arange(len(column)) - np.repeat(np.cumsum(n) - n, n)
+        matrix = np.zeros((len(sets), len(n)), np.float32)
+        matrix[owner[np.repeat(where[at : at + columns], n) + within], column] = 1
+        yield matrix, weight[at : at + columns].astype(np.float32)
 
 
-def links(sets: list[np.ndarray], percent: int) -> np.ndarray:
+def links(sets: list[np.ndarray], percent: int, columns: int = 4096) -> np.ndarray:
     """Boolean matrix: which sets (ascending distinct hashes) link; the diagonal is False."""
-    matrix, weight = membership(sets)
     size = np.array([len(s) for s in sets], np.int64)
     common = np.zeros((len(sets), len(sets)), np.float64)
-    for at in range(0, matrix.shape[1], 8192):
-        part = matrix[:, at : at + 8192]
-        common += (part * weight[at : at + 8192]) @ part.T
+    for matrix, weight in membership(sets, columns):
+        common += (matrix * weight) @ matrix.T
     common = np.rint(common).astype(np.int64)
     out = 100 * common >= percent * (size[:, None] + size[None, :] - common)
     np.fill_diagonal(out, False)
