@@ -242,11 +242,11 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _postings_to_edges(sets: DataFrame) -> DataFrame:
-    """(u, v): every set with the smallest set it shares a posting with. Streams over each posting list."""
+    """(u, v): every set with the smallest set of each posting it shares, repeats included. Streams over each list."""
     rows = sets.filter(F.size("keys") > 0).select(F.explode("keys").alias("key"), "set_id")
     upto = Window.partitionBy("key").orderBy("set_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     linked = rows.withColumn("first", F.min("set_id").over(upto)).filter("first < set_id")
-    return linked.select(F.col("set_id").alias("u"), F.col("first").alias("v")).distinct()
+    return linked.select(F.col("set_id").alias("u"), F.col("first").alias("v"))
 
 
 def membership(sets: list[np.ndarray], columns: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

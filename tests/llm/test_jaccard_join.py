@@ -96,6 +96,23 @@ def test_components_of_a_path_a_star_and_a_loop(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_equal_brute_force(spark):
+    rng = random.Random(31)
+    edges = [(i, i + 1) for i in range(-300, 300)] + [(5_000, i) for i in range(4_000, 4_400)]  # a path, a hub
+    edges += [(rng.randrange(10_000, 10_400), rng.randrange(10_000, 10_400)) for _ in range(260)]
+    edges += [(-(2**63), 2**63 - 1), (7_777, 7_777), (9_000, 9_001), (9_001, 9_000), (9_000, 9_001)]
+    root = {x: x for e in edges for x in e}
+    changed = True
+    while changed:
+        changed = False
+        for u, v in edges:
+            low = min(root[u], root[v])
+            changed |= root[u] != low or root[v] != low
+            root[u] = root[v] = low
+    got = components(spark.createDataFrame(edges, "u long, v long")).collect()
+    assert len(got) == len(root) and {r.node: r.label for r in got} == root
+
+
 def _brute(rows, words, percent):
     sets = []
     for _, text in rows:
