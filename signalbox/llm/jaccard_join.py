@@ -50,7 +50,7 @@ from signalbox.llm.components import components
 
 WORDS = 3
 PERCENT = 90
-BLOCK_SETS = 512
+BLOCK_SETS = 1024
 KEPT_WORDS = 200_000
 SEEN_SETS = 100_000
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -281,8 +281,12 @@ def links(sets: list[np.ndarray], percent: int, columns: int = 4096) -> np.ndarr
     common = np.zeros((len(sets), len(sets)), np.float64)
     for matrix, weight in membership(sets, columns):
         common += (matrix * weight) @ matrix.T
-    common = np.rint(common).astype(np.int64)
-    out = 100 * common >= percent * (size[:, None] + size[None, :] - common)
+    # 100 * common >= percent * (both sizes - common), whole numbers that a double holds exactly
+    np.rint(common, out=common)
+    common *= 100 + percent
+    out = np.empty(common.shape, bool)
+    for i, own in enumerate(size):
+        out[i] = common[i] >= percent * (own + size)
     np.fill_diagonal(out, False)
     return out
 
