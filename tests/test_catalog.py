@@ -45,7 +45,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "Window [", "SortMer
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_plan_has_no_cross_join_window_or_python(spark, name):
     df = entry.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
