@@ -19,11 +19,11 @@ WORDS, PERCENT = 5, 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines leave the texts; rejected documents go."""
+    """Boilerplate lines leave the texts; rejected documents go. Near copies count a line once."""
     small_batches(spark)
     other = {c: f"c{i}" for i, c in enumerate(docs.columns) if c not in ("text", "source")}
     plain = docs.select(*[col(c).alias(other.get(c, c)) for c in docs.columns])
-    kept = line_quality.judge(plain, clean_text=True).filter("kept")
+    kept = line_quality.judge(plain, clean_text=True, near=(WORDS, PERCENT)).filter("kept")
     changed = F.col("removed_words") > 0
 
     def out(name: str):

@@ -11,6 +11,12 @@ The first pass shuffles (host, line hash, text hash) only, with map-side
 distinct and count, so a line or a host that holds a third of all rows is
 combined before it moves. A host has at most ``lines per document / share``
 boilerplate lines; they come back to its documents as one packed array.
+
+Near copies are distinct texts, so a large group of them would make its own
+lines boilerplate. With ``near`` the lines above the limit are counted again,
+once per class of near copies; only documents that hold such a line are
+classed, as no other can lower a count. The limit itself stays a share of the
+host's distinct texts.
 """
 
 from __future__ import annotations
@@ -24,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalbox.llm.common import col, landed, map_batches, sized_broadcast, unused_name, utf8
+from signalbox.llm.jaccard_join import link_classes
 
 MIN_DOCS = 10
 SHARE = 0.1
@@ -79,10 +86,51 @@ def base_measures(text: bytes) -> dict[str, int]:
     }
 
 
-def boilerplate_lines(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+def _packed(above: DataFrame) -> DataFrame:
+    """host, lines: the lines of each host as one array of sixteen hex digits each, unhexed."""
+    # hex() of a long is its two's complement.
+    packed = F.unhex(F.array_join(F.transform(F.array_sort("all"), lambda x: F.lpad(F.hex(x), 16, "0")), ""))
+    return above.groupBy("host").agg(F.collect_list("line").alias("all")).select("host", packed.alias("lines"))
+
+
+def _class_counts(docs: DataFrame, limits: DataFrame, near: tuple[int, int]) -> DataFrame:
+    """host, line, n: in how many classes of near copies (``near``: words of a shingle, percent) the lines of ``limits`` stand.
+
+    Classes are those of ``jaccard_join.link_classes`` among the documents
+    that hold such a line.
+    """
+    held = "host string, lines array<long>, text binary"
+
+    def run(batch: pa.RecordBatch) -> dict:
+        out: dict[str, list] = {"host": [], "lines": [], "text": []}
+        for host, text, packed in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            data = text.as_py()
+            own = {line_hash(x) for x in data.split(b"\n")} & set(np.frombuffer(packed.as_py(), ">i8").tolist())
+            if own:
+                for name, value in (("host", host), ("lines", list(own)), ("text", data)):
+                    out[name].append(value)
+        return out
+
+    rows = docs.select(col("source").cast("string").alias("host"), utf8("text").alias("text")).join(
+        sized_broadcast(limits.select(F.col("host").alias("l_host"), F.col("lines").alias("packed"))),
+        F.col("host").eqNullSafe(F.col("l_host")),
+    )
+    holders = map_batches(rows.select("host", "text", "packed"), run, held)
+    holders = landed(holders.withColumn("doc_id", F.monotonically_increasing_id()), "line-holders")
+    classes = link_classes(holders.select("doc_id", "text"), *near).select(F.col("doc_id").alias("c_doc"), "class_set")
+    lines = holders.select("doc_id", "host", "lines").join(classes, F.col("doc_id") == F.col("c_doc")).select(
+        "host", F.explode("lines").alias("line"), "class_set"
+    )
+    return lines.distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
+
+
+def boilerplate_lines(
+    docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, near: tuple[int, int] | None = None
+) -> DataFrame:
     """host, lines (packed signed 64-bit hashes, ascending): the lines above the limit of each host.
 
     A null host is a host of its own. Hosts without such lines have no row.
+    With ``near`` (words, percent) near copies count once, like equal texts.
     """
 
     def hashes(batch: pa.RecordBatch) -> dict:
@@ -103,12 +151,17 @@ def boilerplate_lines(docs: DataFrame, min_docs: int = MIN_DOCS, share: float =
     counts = rows.distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
     counts = landed(counts.filter((F.col("line") == 0) | (F.col("n") > min_docs)), "line-counts")
     totals = counts.filter("line = 0").select(F.col("host").alias("total_host"), F.col("n").alias("total"))
-    above = counts.filter("line <> 0").join(
-        sized_broadcast(totals), F.col("host").eqNullSafe(F.col("total_host"))
-    ).filter(F.col("n") > F.col("total") * share)
-    # hex() of a long is its two's complement; sixteen digits each, joined and packed.
-    packed = F.unhex(F.array_join(F.transform(F.array_sort("all"), lambda x: F.lpad(F.hex(x), 16, "0")), ""))
-    return above.groupBy("host").agg(F.collect_list("line").alias("all")).select("host", packed.alias("lines"))
+
+    def above(found: DataFrame) -> DataFrame:
+        return found.filter((F.col("line") != 0) & (F.col("n") > min_docs)).join(
+            sized_broadcast(totals), F.col("host").eqNullSafe(F.col("total_host"))
+        ).filter(F.col("n") > F.col("total") * share)
+
+    limits = _packed(above(counts))
+    if near is None:
+        return limits
+    limits = landed(limits, "frequent-lines")
+    return limits if limits.isEmpty() else _packed(above(_class_counts(docs, limits, near)))
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -116,7 +169,7 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 def judge(
     docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE,
-    clean_text: bool = False,
+    clean_text: bool = False, near: tuple[int, int] | None = None,
 ) -> DataFrame:
     """All columns of ``docs`` but the text, the measures and the verdicts of every row.
 
@@ -126,13 +179,13 @@ def judge(
     boilerplate lines (a text without any stays as it is; null stays null).
     Null text has no words and fails the base rules. Rows with equal ids are
     judged each on their own. Columns of ``docs`` with the same names give way
-    to those added.
+    to those added. ``near``: see ``boilerplate_lines``.
     """
     added = {*MEASURES, "removed_words", "base_failed", "kept", "clean_text"}
     carried = [c for c in docs.columns if c not in added]
     text, host, lines = (unused_name(docs, x) for x in ("text_", "host_", "lines_"))
-    limits = boilerplate_lines(docs, min_docs, share).select(F.col("host").alias(host), F.col("lines").alias(lines))
-    limits = landed(limits, "boilerplate")
+    limits = landed(boilerplate_lines(docs, min_docs, share, near), "boilerplate")
+    limits = limits.select(F.col("host").alias(host), F.col("lines").alias(lines))
     rows = docs.select(*[col(c) for c in carried]).join(
         sized_broadcast(limits), col("source").cast("string").eqNullSafe(col(host)), "left"
     )
