@@ -211,11 +211,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it (not taken: no row).
 
-    Rows are told apart by a number that Spark gives them in file order, so
-    ``docs`` must be a table that is read alike each time.
+    Rows are told apart by a number that Spark gives them. It follows the
+    splits of the scan, which change with the executors, so the numbered rows
+    are written once and both the sizes and the result are read from there.
     """
     row, copies, again = (unused_name(docs, x) for x in ("row_", "copies_", "again_"))
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = landed(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     sized = landed(sizes(numbered.select(col(row).alias("row"), col("source"), col("text")), ("row",)), "sizes")
     mixed = take(sized, targets(sized, weights, share), keys=("row",))
     chosen = landed(mixed.filter("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(copies)), "chosen")
