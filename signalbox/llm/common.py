@@ -8,12 +8,14 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalbox.session import scratch_path
 
-# A frame is broadcast only when its measured row count is within this bound;
-# beyond it the same join runs as a shuffle join.
+# A frame is broadcast only when its measured rows and bytes are within these
+# bounds; beyond them the same join runs as a shuffle join.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,10 +47,29 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def sized_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``BROADCAST_ROWS`` rows."""
-    rows = df.count() if rows is None else rows
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value: measured for texts and arrays, a word for any other."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        size = F.octet_length(value).cast("long")
+    elif isinstance(kind, T.ArrayType):
+        size = F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + _value_bytes(x, kind.elementType))
+    elif isinstance(kind, T.StructType):
+        size = sum((_value_bytes(value[f.name], f.dataType) for f in kind), F.lit(0).cast("long"))
+    else:
+        return F.lit(8).cast("long")
+    return F.coalesce(size, F.lit(0)) + 8
+
+
+def rows_and_bytes(df: DataFrame) -> tuple[int, int]:
+    size = sum((_value_bytes(col(f.name), f.dataType) for f in df.schema), F.lit(0).cast("long"))
+    rows, total = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows, total
+
+
+def sized_broadcast(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``BROADCAST_ROWS`` rows and ``BROADCAST_BYTES`` bytes."""
+    rows, total = rows_and_bytes(df)
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and total <= BROADCAST_BYTES else df
 
 
 def utf8(column: str | Column) -> Column:
