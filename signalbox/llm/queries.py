@@ -16,10 +16,11 @@ from signalbox.llm import (
     line_quality,
     packing,
     secret_forest,
+    turn_repair,
     warc_chunks,
     wordpiece_count,
 )
-from signalbox.llm.common import small_batches, table
+from signalbox.llm.common import landed, small_batches, table
 from signalbox.llm.token_ids import vocabulary_path
 
 
@@ -85,10 +86,33 @@ def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with faults planted by crc32 of ``conv_id:turn`` (nulls: one space)."""
+    def filled(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(filled("conv_id"), F.lit(":"), filled("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(filled("text"), ".!?", "")).otherwise(filled("text"))
+    rows = conversations.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(filled("role")).alias("role"), text.alias("text"),
+        F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).alias("copies"),
+    )
+    return rows.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copies", "copy")
+
+
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations: faults, the cheapest repair and the checksum of the repaired turns."""
+    given = table(spark, sf_dir, "conversations")
+    rows = damaged(given)
+    plans = landed(turn_repair.audits(rows, given.select("conv_id").distinct()), "turn-plans")
+    sums = turn_repair.digests(rows, plans).select(F.col("conv_id").alias("id"), "repaired_sha256")
+    return plans.join(sums, F.col("conv_id").eqNullSafe(F.col("id"))).drop("id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_warc_chunk_table, op2_license_scan, op3_sum_of_squares_packing, op4_bitslice_topk, op5_line_frequency,
-        op6_wordpiece_counts, op7_jaccard_components, op8_bitpacked_ids, op9_cube_mix, op10_secret_forest,
+        op6_wordpiece_counts, op7_jaccard_components, op8_bitpacked_ids, op9_cube_mix, op10_secret_forest, op11_turn_repair,
     )
 
     def bind(op):
@@ -176,10 +200,72 @@ FROM w JOIN least USING (row) LEFT JOIN n USING (row) LEFT JOIN degree USING (ro
 """
 
 
+def _edit(state: str, letter: str, cost) -> str:
+    """A state's text, nine digits of cost and then the edits, after one more edit."""
+    return f"(lpad((substr({state}, 1, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({state}, 10) || '{letter}')"
+
+
+def _least(*states: str) -> str:
+    return f"least({', '.join(states)})"
+
+
+_AFTER_INSERTS = f"""y0 AS x0, y1 AS x1, y2 AS x2, {_least('y3', _edit('y2', 'I', 2))} AS x3
+    FROM (SELECT *, x0 AS y0, x1 AS y1, {_least('x2', *(_edit(x, 'I', 2) for x in ('x0', 'x1', 'x3')))} AS y2, x3 AS y3
+"""
+
+_OP11 = f"""
+WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+       coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+crc AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda c: ord(c)::BIGINT)),
+       lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+                                lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS kind FROM keyed),
+damaged AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+       CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+       unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM crc WHERE kind <> 0),
+c AS (SELECT row_number() OVER (ORDER BY conv_id NULLS FIRST) AS conv, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)),
+r AS (SELECT c.conv, d.turn, d.role, d.text, substr(d.role, 1, 1) AS i,
+       row_number() OVER (PARTITION BY c.conv ORDER BY turn NULLS FIRST, d.role, sha256(text)) AS n,
+       rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+       FROM damaged d JOIN c ON d.conv_id IS NOT DISTINCT FROM c.conv_id),
+q AS (SELECT *, row_number() OVER (PARTITION BY conv, role, text ORDER BY n) AS again FROM r),
+f AS (SELECT *, CASE WHEN bare = '' THEN 1 WHEN again > 1 THEN 2 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+       lag(i) OVER (PARTITION BY conv ORDER BY n) AS before FROM q),
+m AS (SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 1)::BIGINT AS blank,
+       count_if(fault = 2)::BIGINT AS duplicate, count_if(fault = 3)::BIGINT AS truncated,
+       count_if(before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal FROM f GROUP BY conv),
+walk AS (SELECT conv, 0::BIGINT AS n, '000000000' AS x0, NULL::VARCHAR AS x1, NULL::VARCHAR AS x2, NULL::VARCHAR AS x3 FROM c
+  UNION ALL
+  SELECT w.conv, f.n, {_edit('x0', 'D', 3)},
+    {_least(_edit('x1', 'D', 3), "CASE WHEN live AND i = 's' THEN " + _edit('x0', 'K', 'late') + " END")},
+    {_least(_edit('x2', 'D', 3),
+            *("CASE WHEN live AND i = 'u' THEN " + _edit(x, 'K', 'late') + " END" for x in ('x0', 'x1', 'x3')),
+            *("CASE WHEN live THEN " + _edit(x, 'R', '2 + late') + " END" for x in ('x0', 'x1', 'x3')))},
+    {_least(_edit('x3', 'D', 3), "CASE WHEN live AND i = 'a' THEN " + _edit('x2', 'K', 'late') + " END",
+            "CASE WHEN live THEN " + _edit('x2', 'R', '2 + late') + " END")}
+  FROM (SELECT conv, n, {_AFTER_INSERTS} FROM walk)) w
+  JOIN (SELECT conv, n, i, fault NOT IN (1, 2) AS live, (fault = 3)::BIGINT AS late FROM f) f ON f.conv = w.conv AND f.n = w.n + 1),
+best AS (SELECT conv, least(x0, x3) AS x FROM (SELECT conv, n, {_AFTER_INSERTS} FROM walk))
+         QUALIFY row_number() OVER (PARTITION BY conv ORDER BY n DESC) = 1),
+a AS (SELECT conv, substr(x, 1, 9)::BIGINT AS cost, substr(x, 10) AS audit FROM best),
+e AS (SELECT conv, spot, substr(audit, spot, 1) AS edit FROM (SELECT conv, audit, unnest(range(1, len(audit) + 1)) AS spot FROM a)),
+o AS (SELECT *, count_if(edit <> 'I') OVER (PARTITION BY conv ORDER BY spot) AS n,
+       count_if(edit <> 'D') OVER (PARTITION BY conv ORDER BY spot) AS place FROM e),
+s AS (SELECT o.conv, o.spot, o.edit, o.place, f.role, CASE o.edit WHEN 'I' THEN '' ELSE f.text END AS text,
+       max(CASE WHEN o.place = 1 AND o.edit = 'K' AND f.i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY o.conv) AS lead
+      FROM o LEFT JOIN f ON f.conv = o.conv AND f.n = o.n WHERE o.edit <> 'D'),
+h AS (SELECT conv, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END
+       || ':' || text, chr(10) ORDER BY spot) AS body FROM s GROUP BY conv)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM c JOIN a USING (conv) LEFT JOIN m USING (conv) LEFT JOIN h USING (conv)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc_chunk_table": _OP1,
         "op4_bitslice_topk": _OP4,
         "op5_line_frequency": _OP5,
         "op7_jaccard_components": _OP7,
+        "op11_turn_repair": _OP11,
     }
