@@ -14,6 +14,7 @@ from signalbox.llm import (
     jaccard_join,
     license_scan,
     line_quality,
+    merkle,
     packing,
     secret_forest,
     turn_repair,
@@ -109,10 +110,25 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.join(sums, F.col("conv_id").eqNullSafe(F.col("id"))).drop("id")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof of membership, folded again from (partly tampered) rows."""
+    tampered = F.when(
+        F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0,
+        merkle.leaf_digest([F.translate(f, "\n", "") if f == "text" else F.col(f) for f in merkle.FIELDS]),
+    )
+    proven = merkle.manifest(table(spark, sf_dir, "documents"), carry={"tampered": F.unhex(tampered)})
+    start = F.coalesce(F.lower(F.hex("tampered")), F.col("leaf"))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        merkle.folded(start, F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_warc_chunk_table, op2_license_scan, op3_sum_of_squares_packing, op4_bitslice_topk, op5_line_frequency,
         op6_wordpiece_counts, op7_jaccard_components, op8_bitpacked_ids, op9_cube_mix, op10_secret_forest, op11_turn_repair,
+        op12_merkle_manifest,
     )
 
     def bind(op):
@@ -261,6 +277,52 @@ FROM c JOIN a USING (conv) LEFT JOIN m USING (conv) LEFT JOIN h USING (conv)
 """
 
 
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+_LEAF = "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+
+
+def _tree(name: str, leaves: str, tree: str) -> str:
+    """Nodes of all trees below ``tree`` and, for each below a root, the digests left and right of it."""
+    return f"""
+{name} AS (SELECT {tree} AS tree, 0 AS level, idx, leaf AS digest, n FROM {leaves} UNION ALL
+  SELECT tree, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3 FROM {name}
+  WHERE n > 1 GROUP BY tree, level, idx // 3, n),
+{name}_sides AS (SELECT tree, level, idx,
+    coalesce(string_agg(digest, '') OVER (PARTITION BY tree, level, idx // 3 ORDER BY idx
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(digest, '') OVER (PARTITION BY tree, level, idx // 3 ORDER BY idx
+             ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after FROM {name} WHERE n > 1)"""
+
+
+_OP12 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS row, doc_id, source, {_LEAF.replace('{text}', 'text')} AS leaf,
+    {_LEAF.replace('{text}', "replace(text, chr(10), '')")} AS cut,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+       lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+                                lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 2 AS odd FROM documents),
+leaves AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY source) AS n FROM d),
+{_tree('low', 'leaves', 'tree')},
+subroots AS (SELECT tree AS idx, digest AS leaf, count(*) OVER () AS n FROM low WHERE n = 1),
+{_tree('high', 'subroots', '0')},
+climb AS (SELECT row, tree, 0 AS level, idx, CASE WHEN odd = 0 THEN cut ELSE leaf END AS digest, '' AS proof FROM leaves UNION ALL
+  SELECT row, c.tree, c.level + 1, c.idx // 3, sha256(s.before || c.digest || s.after), proof || s.before || s.after
+  FROM climb c JOIN low_sides s ON s.tree = c.tree AND s.level = c.level AND s.idx = c.idx),
+low_end AS (SELECT * FROM climb QUALIFY row_number() OVER (PARTITION BY row ORDER BY level DESC) = 1),
+over AS (SELECT row, 0 AS level, tree AS idx, digest, proof FROM low_end UNION ALL
+  SELECT row, c.level + 1, c.idx // 3, sha256(s.before || c.digest || s.after), proof || s.before || s.after
+  FROM over c JOIN high_sides s ON s.level = c.level AND s.idx = c.idx),
+high_end AS (SELECT * FROM over QUALIFY row_number() OVER (PARTITION BY row ORDER BY level DESC) = 1)
+SELECT l.doc_id, l.leaf, u.leaf AS subroot, r.digest AS root, sha256(e.proof) AS proof_sha256, e.digest AS folded_root,
+       e.digest = r.digest AS verified
+FROM leaves l JOIN subroots u ON u.idx = l.tree JOIN (SELECT digest FROM high WHERE n = 1) r ON TRUE JOIN high_end e USING (row)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc_chunk_table": _OP1,
@@ -268,4 +330,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_frequency": _OP5,
         "op7_jaccard_components": _OP7,
         "op11_turn_repair": _OP11,
+        "op12_merkle_manifest": _OP12,
     }
