@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from signalbox.llm import (
     bitpack_ids,
     bitslice_topk,
+    certified_packing,
     cube_mix,
     jaccard_join,
     license_scan,
@@ -124,11 +125,16 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed whole into as few sequences of 2048 tokens as repacking finds."""
+    return certified_packing.pack(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_warc_chunk_table, op2_license_scan, op3_sum_of_squares_packing, op4_bitslice_topk, op5_line_frequency,
         op6_wordpiece_counts, op7_jaccard_components, op8_bitpacked_ids, op9_cube_mix, op10_secret_forest, op11_turn_repair,
-        op12_merkle_manifest,
+        op12_merkle_manifest, op13_certified_packing,
     )
 
     def bind(op):
