@@ -15,6 +15,11 @@ from signalbox.operators.joins import join_small
 from signalbox.schemas import ANOMALY_SCHEMA
 
 
+# Delays are added up as whole microseconds; 38 digits hold the squares of any real table.
+MICROSECONDS = "decimal(18,0)"
+SUM = "decimal(38,0)"
+
+
 def _anomaly_row(**cols: Column) -> list[Column]:
     """Columns in anomaly-schema order; unspecified ones are typed nulls."""
     out = []
@@ -47,22 +52,53 @@ def detect_large_delays(
     )
 
 
+def timed_delays(movements: DataFrame) -> DataFrame:
+    """Rows with a station and a delay (a number), and the delay in whole microseconds."""
+    return (
+        movements.withColumn("delay_seconds", safe_double("delay_seconds"))
+        .withColumn("delay_us", F.round(F.col("delay_seconds") * 1e6).try_cast(MICROSECONDS))
+        .filter(F.col("delay_us").isNotNull() & F.col("local_name").isNotNull())
+    )
+
+
+def station_delay_moments(movements: DataFrame) -> DataFrame:
+    """Per station: number, sum and sum of squares of the delays in microseconds.
+
+    The sums are exact integers, so they do not depend on the order of the
+    rows, and moments of parts add up to the moments of the whole.
+    """
+    us = F.col("delay_us")
+    return timed_delays(movements).groupBy("local_name").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(us).cast(SUM).alias("total"),
+        F.sum(us * us).cast(SUM).alias("squares"),
+    )
+
+
+def stats_of_moments(moments: DataFrame) -> DataFrame:
+    """``moments`` with the mean and the sample standard deviation in seconds.
+
+    With q the integer part of the mean, the squared distances from q are an
+    exact integer; only the remainder (less than one microsecond of mean) is
+    settled in floating point. Equal delays therefore have deviation 0, and
+    equal moments give equal digits.
+    """
+    q = F.expr("total div n").cast("decimal(20,0)")
+    apart = (F.col("squares") - (q * F.col("total") * 2).cast(SUM) + (q * q * F.col("n")).cast(SUM)).cast("double")
+    rest = (F.col("total") - (q * F.col("n")).cast(SUM)).cast("double")
+    variance = (apart - rest * rest / F.col("n")) / (F.col("n") - 1)
+    return moments.withColumn("mean", F.col("total").cast("double") / F.col("n") / 1e6).withColumn(
+        "std", F.when(F.col("n") > 1, F.sqrt(variance) / 1e6)
+    )
+
+
 def station_delay_stats(movements: DataFrame) -> DataFrame:
     """A-14: per-station mean, sample standard deviation and count of delays.
 
     Rows without delay or station are left out; a station with one sample has
     a null deviation.
     """
-    return (
-        movements.select("local_name", safe_double("delay_seconds").alias("delay_seconds"))
-        .filter(F.col("delay_seconds").isNotNull() & F.col("local_name").isNotNull())
-        .groupBy("local_name")
-        .agg(
-            F.avg("delay_seconds").alias("mean"),
-            F.stddev_samp("delay_seconds").alias("std"),
-            F.count("delay_seconds").alias("n"),
-        )
-    )
+    return stats_of_moments(station_delay_moments(movements)).select("local_name", "mean", "std", "n")
 
 
 def detect_station_delay_outliers(
@@ -83,13 +119,21 @@ def detect_station_delay_outliers(
     stations with deviation > 0 and at least ``min_samples`` samples are
     scored.
     """
-    stats = station_delay_stats(movements).filter((F.col("std") > 0) & (F.col("n") >= min_samples))
-    rows = movements.withColumn("delay_seconds", safe_double("delay_seconds")).filter(
-        F.col("delay_seconds").isNotNull() & F.col("local_name").isNotNull()
-    )
-    scored = join_small(rows, stats, "local_name", "inner", known_rows=station_bound).withColumn(
-        "z_score", (F.col("delay_seconds") - F.col("mean")) / F.col("std")
-    )
+    return score_outliers(movements, station_delay_stats(movements), z_threshold, min_samples, station_bound)
+
+
+def score_outliers(
+    movements: DataFrame,
+    stats: DataFrame,
+    z_threshold: float = C.Z_SCORE_THRESHOLD,
+    min_samples: int = C.MIN_STATION_SAMPLES,
+    station_bound: int | None = None,
+) -> DataFrame:
+    """X-02 against given statistics (local_name, mean, std, n) of the stations."""
+    stats = stats.filter((F.col("std") > 0) & (F.col("n") >= min_samples)).select("local_name", "mean", "std")
+    scored = join_small(
+        timed_delays(movements), stats, "local_name", "inner", known_rows=station_bound
+    ).withColumn("z_score", (F.col("delay_seconds") - F.col("mean")) / F.col("std"))
     hits = scored.filter(F.col("z_score") >= z_threshold)
     return hits.select(
         *_anomaly_row(

@@ -7,6 +7,11 @@ only the event dates the batch touches (partition pruning), and the remaining
 rows are appended under ``event_date=<d>``. Earlier deliveries win, exactly
 as in the read-time dedup ordered by insert time; folding a batch again
 appends nothing, so batches whose fold failed are taken up by the next call.
+
+Each clean row keeps the number of the batch that brought it, so a later step
+can read what a range of batches added (``IncrementalClean.added``): each
+file holds the rows of one fold, and its statistics let a scan skip all
+others.
 """
 
 from __future__ import annotations
@@ -30,7 +35,8 @@ KINDS = {
 
 
 def clean_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType(schema.fields + [T.StructField(DATE_COLUMN, T.DateType())])
+    return T.StructType(
+        schema.fields + [T.StructField(BATCH_COLUMN, T.LongType()), T.StructField(DATE_COLUMN, T.DateType())])
 
 
 def read_clean_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -54,8 +60,8 @@ def fold_batches(spark: SparkSession, sink, clean_path: str, first: int, last: i
         cond = reduce(lambda a, b: a & b,
                       [fresh[c].eqNullSafe(existing[c]) for c in key + [DATE_COLUMN]])
         fresh = fresh.join(existing, cond, "left_anti")
-    fresh.select(*schema.fieldNames(), DATE_COLUMN).write.mode("append").partitionBy(DATE_COLUMN).parquet(
-        clean_path)
+    fresh.select(*schema.fieldNames(), F.lit(last).cast("long").alias(BATCH_COLUMN), DATE_COLUMN).write.mode(
+        "append").partitionBy(DATE_COLUMN).parquet(clean_path)
 
 
 class IncrementalClean(BatchStep):
@@ -68,6 +74,14 @@ class IncrementalClean(BatchStep):
     def path(self, kind: str) -> str:
         return f"{self.base}/{kind}"
 
+    def history(self, kind: str) -> DataFrame:
+        """All clean rows, with the columns batch_id and event_date."""
+        return self.spark.read.schema(clean_schema(KINDS[kind][0])).parquet(self.path(kind))
+
+    def added(self, kind: str, first: int, last: int) -> DataFrame:
+        """Clean rows that the folds of the batches ``first`` to ``last`` brought."""
+        return self.history(kind).filter(in_batches(first, last))
+
     def process(self, first: int, last: int) -> None:
         for kind in KINDS:
             fold_batches(self.spark, self.sink, self.path(kind), first, last, kind)

@@ -9,9 +9,12 @@ step does only the work a batch can change:
   new batches touched, over the deduplicated history of those buckets (a range
   filter on the time column that Parquet statistics can prune, plus a
   broadcast semi-join with the touched pairs, bounded by the batch size);
-* station outliers (X-02) depend on whole-station statistics, so every call
-  recomputes them over the deduplicated history and publishes them as a
-  complete snapshot under ``<path>/_outliers``.
+* station outliers (X-02) depend on whole-station statistics. Beside clean
+  tables they come from a state that is carried from batch to batch
+  (``streaming/outliers``): a call reads the rows its batches added, the
+  state, and the state's tail of high delays. Without clean tables every call
+  recomputes them over the deduplicated history. Either way they are published
+  as a complete snapshot under ``<path>/_outliers``.
 
 Large delays and spikes are written to ``<path>/batch_id=<n>`` with a ``kind``
 column. A call works on every batch since the last finished one, so a failed
@@ -46,7 +49,8 @@ from signalbox.sinks.writers import (
     stored_schema,
     write_batch_partition,
 )
-from signalbox.streaming.clean import KINDS, IncrementalClean, clean_schema
+from signalbox.streaming.clean import IncrementalClean
+from signalbox.streaming.outliers import OutlierState
 from signalbox.streaming.progress import BatchStep, in_batches
 
 KIND_LARGE, KIND_SPIKE = "large_delay", "cancellation_spike"
@@ -76,11 +80,7 @@ class IncrementalDetection(BatchStep):
         self.station_bound = station_bound
         self.spike_window = spike_window
         self.clean = clean
-
-    def _clean_history(self, kind: str) -> DataFrame | None:
-        if self.clean is None:
-            return None
-        return self.spark.read.schema(clean_schema(KINDS[kind][0])).parquet(self.clean.path(kind))
+        self.outliers = None if clean is None else OutlierState(spark, path, clean, station_bound)
 
     def process(self, first: int, last: int) -> None:
         mv_table = self.sink.read_movements_with_batch(self.spark)
@@ -91,12 +91,11 @@ class IncrementalDetection(BatchStep):
         spikes = self._touched_spikes(cx_table, first, last).withColumn("kind", F.lit(KIND_SPIKE))
         write_batch_partition(large.unionByName(spikes), self.path, last)
 
-        history = self._clean_history("movements")
-        if history is None:
-            history = dedup.dedup_movements(mv_table.drop(BATCH_COLUMN, DATE_COLUMN)).drop("inserted_at")
+        if self.outliers is not None:
+            outliers = self.outliers.fold(first, last)
         else:
-            history = history.drop(DATE_COLUMN)
-        outliers = detect_station_delay_outliers(history, station_bound=self.station_bound)
+            history = dedup.dedup_movements(mv_table.drop(BATCH_COLUMN, DATE_COLUMN)).drop("inserted_at")
+            outliers = detect_station_delay_outliers(history, station_bound=self.station_bound)
         replace_snapshot(outliers, _outlier_path(self.path))
         prune_snapshots(self.spark, _outlier_path(self.path), older_than_seconds=SNAPSHOT_AGE_SECONDS)
 
@@ -125,9 +124,8 @@ class IncrementalDetection(BatchStep):
             return self.spark.createDataFrame([], ANOMALY_SCHEMA)
         in_span = (F.col(DATE_COLUMN).between(F.lit(span.lo_day), F.lit(span.hi_day))
                    & (F.col("canx_timestamp") >= span.lo_ms) & (F.col("canx_timestamp") < span.end_ms))
-        clean = self._clean_history("cancellations")
-        if clean is not None:
-            history = clean.filter(in_span).drop(DATE_COLUMN)
+        if self.clean is not None:
+            history = self.clean.history("cancellations").filter(in_span).drop(BATCH_COLUMN, DATE_COLUMN)
         else:
             history = cx_table.filter(in_span).drop(BATCH_COLUMN, DATE_COLUMN)
             history = dedup.dedup_cancellations(history).drop("inserted_at")
