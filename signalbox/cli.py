@@ -63,6 +63,7 @@ def cmd_stream(spark, a):
     from signalbox.streaming.micro_batch import run_until_stopped, start_feed_stream
 
     from signalbox.streaming.clean import IncrementalClean
+    from signalbox.streaming.late_windows import FeedEvents, LateWindows
 
     dim, dim_rows = _dimension(spark, a.corpus)
     sink = ParquetFactSink(a.tables)
@@ -75,8 +76,11 @@ def cmd_stream(spark, a):
             run_detection(spark, sink, a.anomalies, dim_rows)
     if clean is not None:
         clean.then, after = after, clean
+        if a.windows:
+            clean.then = LateWindows(spark, FeedEvents(clean), a.windows, a.watermark, then=clean.then)
     trigger = {"availableNow": True} if a.available_now else None
-    query = start_feed_stream(spark, a.feed, a.checkpoint, dim, sink, dim_rows, after, trigger, a.max_files)
+    query = start_feed_stream(spark, a.feed, a.checkpoint, dim, sink, dim_rows, after, trigger, a.max_files,
+                              quarantine=a.quarantine)
     run_until_stopped(query)
     if hasattr(after, "catch_up"):
         after.catch_up()
@@ -121,6 +125,7 @@ def cmd_charts(spark, a):
 
 def cmd_window_stream(spark, a):
     from signalbox.sources.tables import read_window_events_stream
+    from signalbox.streaming.late_windows import EventFacts, LateWindows, start_event_landing
     from signalbox.streaming.micro_batch import run_until_stopped
     from signalbox.streaming.window_stream import (
         start_feed_window_stream,
@@ -136,6 +141,13 @@ def cmd_window_stream(spark, a):
     else:
         events = window_events_from_csv(spark, read_window_events_stream(spark, a.input, a.max_files))
         query = start_window_stats_stream(events, a.out, a.checkpoint, a.watermark, trigger=trigger)
+        if a.facts:
+            facts = EventFacts(spark, a.facts)
+            landing = start_event_landing(events, facts, f"{a.checkpoint.rstrip('/')}-facts",
+                                          LateWindows(spark, facts, a.out, a.watermark), trigger)
+            run_until_stopped(query)
+            run_until_stopped(landing)
+            return query
     run_until_stopped(query)
     return query
 
@@ -165,6 +177,10 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--tables", required=True)
     s.add_argument("--checkpoint", required=True, help="shared folder for stream progress")
     s.add_argument("--clean", help="maintain deduplicated tables here (read by incremental detection)")
+    s.add_argument("--quarantine", help="keep texts that are not messages here, with their file")
+    s.add_argument("--windows", help="table of a window-stream on the same feed: count windows of late rows anew "
+                                     "(needs --clean)")
+    s.add_argument("--watermark", default="1 hour", help="the window-stream's watermark (with --windows)")
     s.add_argument("--detect", choices=["none", "incremental", "full"], default="incremental")
     s.add_argument("--anomalies", help="anomaly table folder (needed unless --detect none)")
     s.add_argument("--max-files", type=int, default=10)
@@ -197,6 +213,7 @@ def parser() -> argparse.ArgumentParser:
     src.add_argument("--feed", help="folder of message files (*.json); needs --corpus")
     w.add_argument("--corpus", help="location reference file (with --feed)")
     w.add_argument("--out", required=True)
+    w.add_argument("--facts", help="land the events here (with --input) and count windows of late rows anew")
     w.add_argument("--checkpoint", required=True)
     w.add_argument("--watermark", default="1 hour")
     w.add_argument("--max-files", type=int)
@@ -209,6 +226,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     args = parser().parse_args(argv)
     if getattr(args, "detect", "none") != "none" and args.command == "stream" and not args.anomalies:
         parser().error("--anomalies is required unless --detect none")
+    if args.command == "stream" and args.windows and not args.clean:
+        parser().error("--windows needs --clean")
     if args.command == "window-stream" and args.feed and not args.corpus:
         parser().error("--corpus is required with --feed")
     return args.run(_session(spark), args)

@@ -114,6 +114,16 @@ class ParquetFactSink:
         write_batch_partition(cancellation_output(cancellations), self.cancellations_path, batch_id,
                               CANCELLATION_TIME)
 
+    def last_batch(self, spark: SparkSession) -> int:
+        """Largest batch id in the tables (from the partition folders); -1 if there is none."""
+        found = [-1]
+        for path, reader in ((self.movements_path, self.read_movements_with_batch),
+                             (self.cancellations_path, self.read_cancellations_with_batch)):
+            fs, root = _hadoop_fs(spark, path)
+            if fs.exists(root):
+                found.append(reader(spark).agg(F.max(BATCH_COLUMN)).first()[0])
+        return max(b for b in found if b is not None)
+
     def read_movements(self, spark: SparkSession) -> DataFrame:
         return read_fact_table(spark, self.movements_path, MOVEMENT_TABLE_SCHEMA)
 
@@ -169,6 +179,23 @@ class JdbcFactSink:
         return read_jdbc(spark, self.url, self.cancellations_table, self.properties)
 
 
+# --- Corrupt messages (S-11) --------------------------------------------------
+
+QUARANTINE_SCHEMA = T.StructType([T.StructField("file_path", T.StringType()), T.StructField("raw_text", T.StringType())])
+
+
+def write_quarantine(corrupt: DataFrame, path: str, batch_id: int) -> None:
+    """Corrupt texts of one batch; writing the batch again replaces them."""
+    write_batch_partition(corrupt.select("file_path", "raw_text"), path, batch_id)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Corrupt texts of all batches with file_path, inserted_at and batch_id (empty before the first)."""
+    schema = stored_schema(QUARANTINE_SCHEMA)
+    fs, root = _hadoop_fs(spark, path)
+    return spark.read.schema(schema).parquet(path) if fs.exists(root) else spark.createDataFrame([], schema)
+
+
 # --- Anomaly table (K-04) ----------------------------------------------------
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -280,9 +307,24 @@ def write_window_updates(updates: DataFrame, path: str, batch_id: int) -> None:
     write_batch_partition(updates, path, batch_id)
 
 
+def late_windows_path(path: str) -> str:
+    """Where the windows of late rows are counted anew, beside the stream's table."""
+    return f"{path.rstrip('/')}/_late"
+
+
 def read_window_stats(spark: SparkSession, path: str) -> DataFrame:
-    """Current window statistics: for each (window, station) the latest batch wins."""
-    rows = spark.read.schema(stored_schema(WINDOW_RESULT_STORED)).parquet(path)
-    cols = [c for c in rows.columns if c not in (BATCH_COLUMN, "inserted_at")]
-    latest = keep_first(rows.select(*cols, BATCH_COLUMN), WINDOW_KEY, [-F.col(BATCH_COLUMN)])
-    return latest.select(*cols)
+    """Current window statistics: for each (window, station) the latest batch wins.
+
+    Windows that were counted anew for late rows stand above those of the
+    stream, which has closed them.
+    """
+    def stored(folder: str, late: bool) -> DataFrame:
+        rows = spark.read.schema(stored_schema(WINDOW_RESULT_STORED)).parquet(folder)
+        return rows.drop("inserted_at").withColumn("late", F.lit(late))
+
+    rows, late = stored(path, False), late_windows_path(path)
+    fs, folder = _hadoop_fs(spark, late)
+    if fs.exists(folder) and any(s.getPath().getName().startswith(BATCH_COLUMN) for s in fs.listStatus(folder)):
+        rows = rows.unionByName(stored(late, True))
+    latest = keep_first(rows, WINDOW_KEY, [~F.col("late"), -F.col(BATCH_COLUMN)])
+    return latest.select(*WINDOW_RESULT_STORED.fieldNames())

@@ -52,7 +52,23 @@ def read_feed_stream(
 
 def read_feed_text(spark: SparkSession, path: str) -> DataFrame:
     """Landed message files as whole-file text (one row per file)."""
-    return spark.read.option("wholetext", "true").text(path)
+    return spark.read.text(path, wholetext=True)
+
+
+def read_feed_text_stream(
+    spark: SparkSession, path: str, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER
+) -> DataFrame:
+    """File stream of whole message files as text, with their path (``value``, ``file_path``).
+
+    For feeds whose corrupt files are to be kept (``quarantine_rows``). The
+    landing contract of ``read_feed_stream`` holds here too.
+    """
+    return (
+        spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("pathGlobFilter", JSON_GLOB)
+        .text(path, wholetext=True)
+        .select("value", F.col("_metadata.file_path").alias("file_path"))
+    )
 
 
 def read_message_lines(spark: SparkSession, paths) -> DataFrame:
@@ -110,6 +126,20 @@ def quarantine_split(df: DataFrame, text_col: str = "value") -> tuple[DataFrame,
     return good, bad
 
 
+def quarantine_rows(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S-11 on whole texts with their path: (messages, corrupt texts as ``file_path``, ``raw_text``).
+
+    A text that is blank, not JSON, or JSON of another shape (a number, a
+    string) is corrupt. An array with an element that is no object is corrupt
+    as a whole. Spark's readers leave out files of no bytes; there is nothing
+    in them to keep.
+    """
+    classified = classify_feed_text(texts)
+    good = classified.filter(F.col("status") == "ok").select("header", "body")
+    bad = classified.filter(F.col("status") == "corrupt").select("file_path", F.col(CORRUPT_COLUMN).alias("raw_text"))
+    return good, bad
+
+
 def quarantine_counts(df: DataFrame, text_col: str = "value") -> DataFrame:
     """Number of good and corrupt messages."""
     return classify_feed_text(df, text_col).groupBy("status").agg(F.count(F.lit(1)).alias("count"))

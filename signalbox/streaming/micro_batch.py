@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from signalbox.constants import FEED_TRIGGER_INTERVAL, MAX_FILES_PER_TRIGGER
 from signalbox.operators import transforms as tf
-from signalbox.sources.feed import read_feed_stream
+from signalbox.sinks.writers import _hadoop_fs, write_quarantine
+from signalbox.sources.feed import quarantine_rows, read_feed_stream, read_feed_text_stream
 
 log = logging.getLogger(__name__)
 
@@ -52,6 +53,32 @@ def process_feed_batch(
             log.warning("post-write step failed in batch %s: %s", batch_id, exc)
 
 
+def route_texts(texts: DataFrame, quarantine: str, batch_id: int) -> DataFrame:
+    """S-11 in the stream: corrupt texts of a batch go to the quarantine table; the messages are returned."""
+    good, bad = quarantine_rows(texts)
+    write_quarantine(bad, quarantine, batch_id)
+    return good
+
+
+def first_batch(spark: SparkSession, checkpoint_dir: str, sink) -> int:
+    """The number of this checkpoint's batch 0 in the sink.
+
+    Spark counts the batches of a new checkpoint from 0, which would replace
+    the sink's old batches and make later steps take new batches for finished
+    ones. A new checkpoint therefore goes on after the sink's last batch. The
+    number is kept as an empty marker in the checkpoint folder.
+    """
+    folder = f"{checkpoint_dir.rstrip('/')}/first_batch"
+    fs, root = _hadoop_fs(spark, folder)
+    marks = [int(s.getPath().getName()) for s in fs.listStatus(root)] if fs.exists(root) else []
+    if marks:
+        return max(marks)
+    fresh = not fs.exists(_hadoop_fs(spark, f"{checkpoint_dir.rstrip('/')}/offsets")[1])
+    number = sink.last_batch(spark) + 1 if fresh and hasattr(sink, "last_batch") else 0
+    fs.create(_hadoop_fs(spark, f"{folder}/{number}")[1], True).close()
+    return number
+
+
 def start_feed_stream(
     spark: SparkSession,
     source_dir: str,
@@ -62,6 +89,7 @@ def start_feed_stream(
     after_write=None,
     trigger: dict | None = None,
     max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """T-01 ... T-04: start the feed stream.
 
@@ -69,13 +97,26 @@ def start_feed_stream(
     ``{"availableNow": True}`` to drain the folder and stop. Progress is kept in
     ``checkpoint_dir`` (a shared folder on a cluster), so a restarted query
     resumes after the last committed batch; batches are written per
-    ``batch_id`` partition, so a replayed batch replaces its own rows.
+    ``batch_id`` partition, so a replayed batch replaces its own rows. A new
+    checkpoint on old tables goes on numbering after their last batch.
+
+    ``quarantine``: a folder for texts that are not messages. The files are
+    then read as whole texts and routed two ways in each batch: messages to
+    the tables as before, corrupt texts with their path to
+    ``<quarantine>/batch_id=<n>`` (``read_quarantine``). Without it such files
+    give no rows and leave no trace.
     """
-    stream = read_feed_stream(spark, source_dir, max_files_per_trigger)
+    start = first_batch(spark, checkpoint_dir, sink)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        if quarantine is not None:
+            batch = route_texts(batch, quarantine, start + batch_id)
+        process_feed_batch(batch, start + batch_id, location_dim, sink, dim_rows, after_write)
+
+    reader = read_feed_stream if quarantine is None else read_feed_text_stream
+    stream = reader(spark, source_dir, max_files_per_trigger)
     writer = (
-        stream.writeStream.foreachBatch(
-            lambda df, batch_id: process_feed_batch(df, batch_id, location_dim, sink, dim_rows, after_write)
-        )
+        stream.writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(**(trigger or {"processingTime": FEED_TRIGGER_INTERVAL}))
     )

@@ -69,6 +69,10 @@ class BatchStep:
     def __call__(self, batch_id: int) -> None:
         self.unfinished = batch_id
         first = self.progress.done() + 1
+        if batch_id < first - 1:
+            raise ValueError(
+                f"batch {batch_id} comes after batch {first - 1} was finished: batch ids must go on where an "
+                "earlier run ended (start_feed_stream numbers them so)")
         if first <= batch_id:
             self.process(first, batch_id)
             self.progress.mark(batch_id)
