@@ -125,3 +125,15 @@ def dashboard_kpis(movements: DataFrame, cancellations: DataFrame, anomalies: Da
         F.count_if((kind == 3) & st).alias("station_abnormal_events"),
         F.avg(F.when((kind == 1) & st, F.col("delay_minutes"))).alias("avg_station_delay"),
     )
+
+
+# First columns of the previews' orders; all other columns follow.
+MOVEMENT_ORDER = ["actual_timestamp", "train_id", "loc_stanox", "event_type", "planned_timestamp"]
+CANCELLATION_ORDER = ["canx_timestamp", "train_id", "loc_stanox", "train_service_code", "toc_id", "canx_type"]
+ANOMALY_ORDER = ["event_timestamp", "local_name", "train_id", "anomaly_type"]
+
+
+def preview(df: DataFrame, first: list[str], rows: int = C.PREVIEW_ROWS) -> DataFrame:
+    """O-07 / K-08: the first ``rows`` rows by ``first`` and then all other columns (nulls first)."""
+    order = first + [c for c in df.columns if c not in first]
+    return df.orderBy(*[F.asc_nulls_first(c) for c in order]).limit(rows)

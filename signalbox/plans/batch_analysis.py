@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from signalbox import constants as C
 from signalbox.operators import stats, transforms as tf
 from signalbox.operators.joins import row_bound
 
@@ -16,6 +17,9 @@ from signalbox.operators.joins import row_bound
 def statistics(cancellations: DataFrame, delay_with_location: DataFrame) -> dict[str, DataFrame]:
     """C-05: the console statistics as DataFrames (callers show or store them)."""
     return {
+        "canx_preview": stats.preview(cancellations, stats.CANCELLATION_ORDER, C.STATISTICS_ROWS),
+        "movement_preview": stats.preview(delay_with_location, stats.MOVEMENT_ORDER, C.STATISTICS_ROWS),
+        "delay_preview": stats.preview(tf.delay_info(delay_with_location), [], C.STATISTICS_ROWS),
         "canx_by_reason": stats.count_by(cancellations, "canx_reason_code"),
         "canx_by_location": stats.count_by(cancellations, "local_name"),
         "movements_by_status": stats.count_by(delay_with_location, "variation_status"),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from signalbox import constants as C
 from signalbox.operators import anomaly, dedup, stats, station_map as smap, timeseries as ts
 from signalbox.operators import transforms as tf
+from signalbox.plans import batch_analysis, report
 from signalbox.plans.inputs import Inputs
 from signalbox.sources import feed as feed_src
 
@@ -167,9 +168,15 @@ def prepare_cancellations(spark, sf_dir):
 
 @query
 def prepare_abnormal_events(spark, sf_dir):
-    """C-03: anomaly rows delivered twice, deduplicated on the anomaly key."""
+    """C-03 + P-08: anomaly rows with text times, parsed and deduplicated on the anomaly key.
+
+    Every row is delivered twice; large delays come a third time with a text
+    that is no time, which gives null.
+    """
     ab = Inputs(spark, sf_dir).ab
-    return _r4(dedup.dedup_anomalies(ab.unionByName(ab)), "anomaly_score")
+    text = ab.withColumn("event_timestamp", F.col("event_timestamp").cast("string"))
+    bad = text.filter(F.col("anomaly_type") == C.ANOMALY_LARGE_DELAY).withColumn("event_timestamp", F.lit("n/a"))
+    return _r4(report.prepare_abnormal_events(text.unionByName(text).unionByName(bad)), "anomaly_score")
 
 
 # --- batch statistics (enriched facts of the feed) ---------------------------
@@ -315,6 +322,46 @@ def preview_station_movements(spark, sf_dir):
     )
 
 
+@query
+def preview_cancellations(spark, sf_dir):
+    """O-07: first cancellations in time order."""
+    return stats.preview(Inputs(spark, sf_dir).cxd, stats.CANCELLATION_ORDER)
+
+
+@query
+def preview_station_abnormal_events(spark, sf_dir):
+    """O-07: first station anomalies in time order."""
+    station_ab = tf.filter_station_rows(Inputs(spark, sf_dir).ab)
+    return _r4(stats.preview(station_ab, stats.ANOMALY_ORDER), "anomaly_score")
+
+
+@query
+def preview_station_map(spark, sf_dir):
+    """O-07: first stations of the map."""
+    return _flat_map(stats.preview(_station_map(Inputs(spark, sf_dir)), ["alpha3"]))
+
+
+@query
+def statistics_canx_preview(spark, sf_dir):
+    """C-05 + K-08: first cancellations of the batch statistics."""
+    i = Inputs(spark, sf_dir)
+    return batch_analysis.statistics(i.cx, i.mv)["canx_preview"]
+
+
+@query
+def statistics_movement_preview(spark, sf_dir):
+    """C-05 + K-08: first movements of the batch statistics."""
+    i = Inputs(spark, sf_dir)
+    return batch_analysis.statistics(i.cx, i.mv)["movement_preview"]
+
+
+@query
+def statistics_delay_preview(spark, sf_dir):
+    """C-05 + K-08: first rows of the delay information."""
+    i = Inputs(spark, sf_dir)
+    return batch_analysis.statistics(i.cx, i.mv)["delay_preview"]
+
+
 # --- anomalies --------------------------------------------------------------
 
 @query
@@ -348,6 +395,12 @@ def cancellation_spikes_daily(spark, sf_dir):
     return anomaly.detect_cancellation_spikes(Inputs(spark, sf_dir).cxd_raw, window="1 day")
 
 
+@query
+def cancellation_spikes_pairs(spark, sf_dir):
+    """X-03 with the threshold lowered to two cancellations in an hour."""
+    return anomaly.detect_cancellation_spikes(Inputs(spark, sf_dir).cxd_raw, threshold=2)
+
+
 @query
 def abnormal_events(spark, sf_dir):
     """X-04 + U-01 on the deduplicated facts."""
@@ -471,3 +524,11 @@ def station_map(spark, sf_dir):
 def abnormal_map(spark, sf_dir):
     """F-10 (default minimum of 3 anomalies)."""
     return _flat_map(smap.abnormal_map(_station_map(Inputs(spark, sf_dir))))
+
+
+@query
+def abnormal_map_above_mean(spark, sf_dir):
+    """F-10 with a minimum that drops stations: the mean number of anomalies, rounded up."""
+    rows = _station_map(Inputs(spark, sf_dir))
+    least = rows.agg(F.ceil(F.avg("abnormal_count"))).first()[0]
+    return _flat_map(smap.abnormal_map(rows, least or 0))

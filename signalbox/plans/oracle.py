@@ -98,18 +98,18 @@ loc_dim AS (
              tiploc NULLS FIRST, alpha3 NULLS FIRST, local_name NULLS FIRST, local_name_short NULLS FIRST) = 1
 ),
 coord_records AS (
-  SELECT 'A' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS alpha3,
+  SELECT CASE WHEN n_nationkey % 12 = 0 THEN 'Z' ELSE 'A' END || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS alpha3,
          CASE WHEN n_nationkey % 7 = 0 THEN NULL ELSE n_name END AS station_name,
          CAST(50.0::DOUBLE + CAST(n_nationkey AS DOUBLE) * 0.3::DOUBLE AS VARCHAR) AS latitude,
          CAST(-5.0::DOUBLE + CAST(n_nationkey AS DOUBLE) * 0.25::DOUBLE AS VARCHAR) AS longitude,
          CAST(n_nationkey AS BIGINT) AS record_no
-  FROM nation WHERE n_nationkey <> 24
+  FROM nation
   UNION ALL
-  SELECT 'A' || lpad(CAST(s_nationkey AS VARCHAR), 2, '0'), s_name,
+  SELECT CASE WHEN s_nationkey % 12 = 0 THEN 'Z' ELSE 'A' END || lpad(CAST(s_nationkey AS VARCHAR), 2, '0'), s_name,
          CASE WHEN s_acctbal < 0 THEN 'n/a' ELSE CAST(49.0::DOUBLE + CAST(s_nationkey AS DOUBLE) * 0.3::DOUBLE AS VARCHAR) END,
          CAST(-6.0::DOUBLE + CAST(s_nationkey AS DOUBLE) * 0.25::DOUBLE AS VARCHAR),
          CAST(1000 + s_suppkey AS BIGINT)
-  FROM supplier WHERE s_nationkey <> 24
+  FROM supplier
 ),
 coord AS (
   SELECT alpha3, station_name, latitude, longitude FROM (
@@ -205,10 +205,10 @@ SELECT 'cancellation' AS event_source, CAST(NULL AS VARCHAR) AS train_id, CAST(N
        'Unusually many cancellations occurred at the same station within one hour.' AS explanation
 FROM cxd_raw WHERE local_name IS NOT NULL AND canx_timestamp IS NOT NULL
 GROUP BY local_name, time_bucket(INTERVAL {width}, epoch_ms(canx_timestamp))
-HAVING count(*) >= 5
+HAVING count(*) >= {least}
 """
 
-CTES = _CTES.replace("{spikes_1h}", _SPIKES.format(width="1 hour"))
+CTES = _CTES.replace("{spikes_1h}", _SPIKES.format(width="1 hour", least=5))
 
 
 def _q(body: str) -> str:
@@ -319,7 +319,8 @@ ORACLE_SQL: dict[str, str] = {
     "prepare_movements": _q("SELECT * FROM mvd"),
     "prepare_cancellations": _q("SELECT * FROM cxd"),
     "prepare_abnormal_events": _q(
-        f"""SELECT {_AB_R4} FROM (SELECT * FROM ab UNION ALL SELECT * FROM ab)
+        f"""SELECT {_AB_R4} FROM (SELECT * FROM ab UNION ALL SELECT * FROM ab
+              UNION ALL SELECT * REPLACE (CAST(NULL AS TIMESTAMP) AS event_timestamp) FROM large)
             QUALIFY row_number() OVER (
               PARTITION BY event_source, train_id, loc_stanox, local_name, event_type, event_timestamp, anomaly_type
               ORDER BY {_nf('alpha3, delay_seconds, anomaly_score, explanation')}) = 1"""
@@ -379,11 +380,30 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT * FROM station_mvd ORDER BY actual_timestamp NULLS FIRST, train_id NULLS FIRST, "
         "loc_stanox NULLS FIRST, event_type NULLS FIRST, planned_timestamp NULLS FIRST LIMIT 100"
     ),
+    "preview_cancellations": _q(
+        f"SELECT * FROM cxd ORDER BY {_nf('canx_timestamp, train_id, loc_stanox, train_service_code, toc_id, canx_type')} LIMIT 100"
+    ),
+    "preview_station_abnormal_events": _q(
+        f"SELECT {_AB_R4} FROM (SELECT * FROM ab WHERE alpha3 IS NOT NULL AND alpha3 <> '' ORDER BY "
+        f"{_nf('event_timestamp, local_name, train_id, anomaly_type, event_source, alpha3, loc_stanox, event_type, delay_seconds')} LIMIT 100)"
+    ),
+    "preview_station_map": _q(_map_select() + " ORDER BY alpha3 LIMIT 100"),
+    "statistics_canx_preview": _q(
+        f"SELECT * FROM cx ORDER BY {_nf('canx_timestamp, train_id, loc_stanox, train_service_code, toc_id, canx_type')} LIMIT 20"
+    ),
+    "statistics_movement_preview": _q(
+        f"SELECT * FROM mv ORDER BY {_nf('actual_timestamp, train_id, loc_stanox, event_type, planned_timestamp')} LIMIT 20"
+    ),
+    "statistics_delay_preview": _q(
+        "SELECT train_id, local_name, event_type, delay_seconds, timetable_variation, variation_status FROM mv "
+        f"ORDER BY {_nf('train_id, local_name, event_type, delay_seconds, timetable_variation, variation_status')} LIMIT 20"
+    ),
     "station_delay_stats": _q(f"SELECT local_name, {r4('mean')} AS mean, {r4('std')} AS std, n FROM st"),
     "large_delays": _q(f"SELECT {_AB_R4} FROM large"),
     "station_delay_outliers": _q(f"SELECT {_AB_R4} FROM outl"),
     "cancellation_spikes": _q("SELECT * FROM spikes"),
-    "cancellation_spikes_daily": _q(_SPIKES.format(width="1 day")),
+    "cancellation_spikes_daily": _q(_SPIKES.format(width="1 day", least=5)),
+    "cancellation_spikes_pairs": _q(_SPIKES.format(width="1 hour", least=2)),
     "abnormal_events": _q(f"SELECT {_AB_R4} FROM ab"),
     "station_window_stats": _q(
         f"SELECT window_start, window_end, station, event_count, {r4('avg_delay')} AS avg_delay, "
@@ -412,6 +432,7 @@ ORACLE_SQL: dict[str, str] = {
     "station_abnormal_counts": _q("SELECT * FROM ab_counts"),
     "station_map": _q(_map_select()),
     "abnormal_map": _q(_map_select("WHERE abnormal_count >= 3")),
+    "abnormal_map_above_mean": _q(_map_select("WHERE abnormal_count >= (SELECT ceil(avg(abnormal_count)) FROM smap)")),
 }
 
 

@@ -82,10 +82,10 @@ def build_report(
         "delays_over_time": ts.count_by_time(late, "actual_timestamp", "delay_count", duration),
         "cancellations_over_time": ts.count_by_time(cx, "canx_timestamp", "cancel_count", duration),
         "abnormal_over_time": ts.count_by_time(ab, "event_timestamp", "abnormal_count", duration),
-        "preview_station_movements": station_mv.orderBy("actual_timestamp", "train_id", "loc_stanox").limit(C.PREVIEW_ROWS),
-        "preview_cancellations": cx.orderBy("canx_timestamp", "train_id", "loc_stanox").limit(C.PREVIEW_ROWS),
-        "preview_station_abnormal_events": station_ab.orderBy("event_timestamp", "local_name").limit(C.PREVIEW_ROWS),
-        "preview_station_map": map_rows.orderBy("alpha3").limit(C.PREVIEW_ROWS),
+        "preview_station_movements": stats.preview(station_mv, stats.MOVEMENT_ORDER),
+        "preview_cancellations": stats.preview(cx, stats.CANCELLATION_ORDER),
+        "preview_station_abnormal_events": stats.preview(station_ab, stats.ANOMALY_ORDER),
+        "preview_station_map": stats.preview(map_rows, ["alpha3"]),
     }
 
 

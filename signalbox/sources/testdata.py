@@ -148,12 +148,20 @@ def location_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coordinate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw coordinate records (``3alpha``, ``station_name``, text ``latitude``/``longitude``, ``record_no``)."""
-    n = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") != 24)
-    s = table(spark, sf_dir, "supplier").filter(F.col("s_nationkey") != 24)
+    """Raw coordinate records (``3alpha``, ``station_name``, text ``latitude``/``longitude``, ``record_no``).
+
+    Every twelfth nation's records carry a code that no location has, so its
+    station has no coordinates.
+    """
+    n = table(spark, sf_dir, "nation")
+    s = table(spark, sf_dir, "supplier")
+
+    def code(key):
+        return F.concat(F.when(key % 12 == 0, F.lit("Z")).otherwise(F.lit("A")), F.lpad(_s(key), 2, "0"))
+
     key = F.col("n_nationkey")
     main = n.select(
-        F.concat(F.lit("A"), F.lpad(_s(key), 2, "0")).alias("3alpha"),
+        code(key).alias("3alpha"),
         F.when(key % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("n_name")).alias("station_name"),
         _s(F.lit(50.0) + key.cast("double") * F.lit(0.3)).alias("latitude"),
         _s(F.lit(-5.0) + key.cast("double") * F.lit(0.25)).alias("longitude"),
@@ -161,7 +169,7 @@ def coordinate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     skey = F.col("s_nationkey")
     extra = s.select(
-        F.concat(F.lit("A"), F.lpad(_s(skey), 2, "0")).alias("3alpha"),
+        code(skey).alias("3alpha"),
         F.col("s_name").alias("station_name"),
         F.when(F.col("s_acctbal") < 0, F.lit("n/a")).otherwise(_s(F.lit(49.0) + skey.cast("double") * F.lit(0.3))).alias("latitude"),
         _s(F.lit(-6.0) + skey.cast("double") * F.lit(0.25)).alias("longitude"),
