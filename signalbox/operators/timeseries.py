@@ -33,7 +33,11 @@ def count_by_time_filled(
     It is joined with the per-bucket counts; both are bounded by the span,
     not by the number of input rows.
     """
-    counts = count_by_time(df, time_col, count_col, duration)
+    return fill_buckets(count_by_time(df, time_col, count_col, duration), time_col, count_col, duration, chunk)
+
+
+def fill_buckets(counts: DataFrame, time_col: str, count_col: str, duration: str, chunk: int = 1024) -> DataFrame:
+    """``counts`` (one row per non-empty bucket) with the empty buckets between as 0; see ``count_by_time_filled``."""
     epoch = epoch_ntz()
     step_us = F.timestamp_diff("MICROSECOND", epoch, epoch + F.expr(f"INTERVAL {duration}"))
     lo_us = F.timestamp_diff("MICROSECOND", epoch, F.col("lo"))
@@ -43,7 +47,7 @@ def count_by_time_filled(
                        step_us.alias("step_us"))
     coarse = span.select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("last") / F.lit(chunk)))).alias("c")
-    ).repartition(df.sparkSession.sparkContext.defaultParallelism)
+    ).repartition(counts.sparkSession.sparkContext.defaultParallelism)
     first = F.col("c") * chunk
     fine = coarse.select(
         "lo_us", "step_us",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalbox import constants as C
-from signalbox.operators import anomaly, dedup, stats, station_map as smap, timeseries as ts
+from signalbox.operators import anomaly, dedup, rollup, stats, station_map as smap, timeseries as ts
 from signalbox.operators import transforms as tf
 from signalbox.plans import batch_analysis, report
 from signalbox.plans.inputs import Inputs
@@ -487,6 +487,46 @@ def abnormal_over_time_1h(spark, sf_dir):
     return ts.count_by_time(Inputs(spark, sf_dir).ab, "event_timestamp", "abnormal_count", "1 hour")
 
 
+# --- time series from the cascade (one scan of the facts for all rates) -------
+
+@query
+def rollup_partials(spark, sf_dir):
+    """A-20/B-02: 10-minute partials of both facts."""
+    i = Inputs(spark, sf_dir)
+    return rollup.bucket_partials(i.mvd_raw, i.cxd_raw).withColumn("delay_us", F.col("delay_us").cast("long"))
+
+
+@query
+def rollup_station_window_stats(spark, sf_dir):
+    """A-20 from the partials."""
+    return _r4(rollup.window_stats(Inputs(spark, sf_dir).partials), "avg_delay")
+
+
+@query
+def rollup_delays_over_time_1h(spark, sf_dir):
+    """B-02 from the partials, 1 hour."""
+    return rollup.count_over_time(Inputs(spark, sf_dir).partials, "late", "1 hour", "actual_timestamp", "delay_count")
+
+
+@query
+def rollup_delays_over_time_1d(spark, sf_dir):
+    """B-02 from the partials, 1 day."""
+    return rollup.count_over_time(Inputs(spark, sf_dir).partials, "late", "1 day", "actual_timestamp", "delay_count")
+
+
+@query
+def rollup_canx_hourly_filled(spark, sf_dir):
+    """B-01 from the partials; its span too."""
+    return rollup.count_over_time_filled(
+        Inputs(spark, sf_dir).partials, "cancellations", "1 hour", "canx_timestamp", "cancel_count")
+
+
+@query
+def rollup_spike_counts_daily(spark, sf_dir):
+    """B-03 from the partials, one-day buckets."""
+    return rollup.spike_counts(Inputs(spark, sf_dir).partials, duration="1 day")
+
+
 # --- station map ------------------------------------------------------------
 
 def _flat_map(rows: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signalbox.operators.rollup import PARTIAL_SCHEMA
 from signalbox.operators import dedup, transforms as tf
 from signalbox.operators.anomaly import detect_anomalies
 from signalbox.operators.joins import row_bound
@@ -179,6 +180,11 @@ class Inputs:
         """
         return detect_anomalies(self.mvd_raw, self.cxd_raw, station_bound=self.dim_rows)
 
+    @once
+    def partials(self) -> DataFrame:
+        """10-minute partials as published by the refresh step."""
+        return self.spark.read.schema(PARTIAL_SCHEMA).parquet(self.landed.rollup_path)
+
     @once
     def ab(self) -> DataFrame:
         """Anomaly table as published by the refresh step."""

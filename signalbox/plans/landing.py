@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from signalbox.operators import dedup
 from signalbox.operators.anomaly import detect_anomalies
+from signalbox.operators.rollup import bucket_partials
 from signalbox.plans._cache import LOCK, once
 from signalbox.schemas import CANCELLATION_TABLE_SCHEMA, MOVEMENT_TABLE_SCHEMA
 from signalbox.session import scratch_path
@@ -115,6 +116,15 @@ class Landing:
     def clean_cancellations_path(self) -> str:
         return self._clean_paths[1]
 
+    @once
+    def rollup_path(self) -> str:
+        """Refresh step: 10-minute partials, from one scan of both clean facts."""
+        path = f"{self.base}/rollup"
+        movements = read_clean(self.spark, self.clean_movements_path, MOVEMENT_TABLE_SCHEMA)
+        cancellations = read_clean(self.spark, self.clean_cancellations_path, CANCELLATION_TABLE_SCHEMA)
+        bucket_partials(movements, cancellations).write.mode("overwrite").parquet(path)
+        return path
+
     @once
     def anomalies_path(self) -> str:
         """Refresh step: anomaly table detected over the clean facts."""

@@ -426,6 +426,27 @@ ORACLE_SQL: dict[str, str] = {
     "delays_over_time_1d": _q(_over_time("mvd", "actual_timestamp", "delay_count", "1 day", f"AND {_LATE_CI}")),
     "canx_over_time_1h": _q(_over_time("cxd", "canx_timestamp", "cancel_count", "1 hour")),
     "abnormal_over_time_1h": _q(_over_time("ab", "event_timestamp", "abnormal_count", "1 hour")),
+    "rollup_partials": _q(
+        f"""SELECT time_bucket(INTERVAL 10 minute, t) AS bucket, station, CAST(sum(m) AS BIGINT) AS movements,
+              CAST(sum(l) AS BIGINT) AS late, CAST(sum(1 - m) AS BIGINT) AS cancellations,
+              CAST(count(us) AS BIGINT) AS delays, CAST(sum(us) AS BIGINT) AS delay_us
+            FROM (SELECT epoch_ms(actual_timestamp) AS t, local_name AS station, 1 AS m,
+                         CASE WHEN {_LATE_CI} THEN 1 ELSE 0 END AS l, (actual_timestamp - planned_timestamp) * 1000 AS us
+                  FROM mvd_raw
+                  UNION ALL SELECT epoch_ms(canx_timestamp), local_name, 0, 0, NULL FROM cxd_raw)
+            WHERE t IS NOT NULL GROUP BY ALL"""
+    ),
+    "rollup_station_window_stats": _q(
+        f"SELECT window_start, window_end, station, event_count, {r4('avg_delay')} AS avg_delay, "
+        "cancellation_count FROM wstats"
+    ),
+    "rollup_delays_over_time_1h": _q(_over_time("mvd", "actual_timestamp", "delay_count", "1 hour", f"AND {_LATE_CI}")),
+    "rollup_delays_over_time_1d": _q(_over_time("mvd", "actual_timestamp", "delay_count", "1 day", f"AND {_LATE_CI}")),
+    "rollup_canx_hourly_filled": _q(_filled("cxd", "canx_timestamp", "cancel_count", "")),
+    "rollup_spike_counts_daily": _q(
+        """SELECT local_name AS station, time_bucket(INTERVAL 1 day, canx_timestamp) AS bucket, count(*) AS cancel_count
+           FROM cxd WHERE local_name IS NOT NULL AND canx_timestamp IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 5"""
+    ),
     "station_stats": _q(
         f"SELECT alpha3, event_count, {r4('avg_delay')} AS avg_delay, large_delay_count FROM smap_stats"
     ),

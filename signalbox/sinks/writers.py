@@ -95,6 +95,14 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int, time_col: str
     )
 
 
+def write_by_batch(df: DataFrame, path: str) -> None:
+    """Write ``df`` into the partitions that its column ``batch_id`` names; each replaces what it held."""
+    (
+        df.withColumn("inserted_at", F.current_timestamp().cast("timestamp_ntz"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN).parquet(path)
+    )
+
+
 class ParquetFactSink:
     """Movement and cancellation tables under one base folder."""
 
