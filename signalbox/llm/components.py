@@ -46,9 +46,9 @@ def components(edges: DataFrame) -> DataFrame:
         if labels is None:
             labels = reps.withColumnRenamed("rep", "label")
         else:
-            labels = labels.join(of_u, F.col("label") == F.col("nu"), "left").select(
-                "node", F.coalesce("ru", "label").alias("label"))
+            # Written in each round, so that no plan grows with the number of rounds.
+            labels = landed(labels.join(of_u, F.col("label") == F.col("nu"), "left").select(
+                "node", F.coalesce("ru", "label").alias("label")), "labels")
         level += 1
-    labels = landed(labels, "labels")
     least = labels.groupBy(F.col("label").alias("rep")).agg(F.min("node").alias("least"))
     return labels.join(least, F.col("label") == F.col("rep")).select("node", F.col("least").alias("label"))

@@ -45,13 +45,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from signalbox.llm.common import col, landed, sized_broadcast, utf8, worker_cache
+from signalbox.llm.common import (
+    ByteBoundedCache,
+    col,
+    give_back,
+    landed,
+    sized_broadcast,
+    utf8,
+    worker_cache,
+)
 from signalbox.llm.components import components
 
 WORDS = 3
 PERCENT = 90
 BLOCK_SETS = 1024
-KEPT_WORDS = 200_000
+KEPT_WORD_BYTES = 24 << 20
 SEEN_SETS = 100_000
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
@@ -73,11 +81,15 @@ def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(w) < words:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(w), seed=len(w))], np.uint64)
-    known = worker_cache("word hashes", dict)
-    if len(known) > KEPT_WORDS:
-        known.clear()
-    for x in set(w).difference(known):
-        known[x] = xxhash.xxh3_64_intdigest(x)
+    known = worker_cache("word hashes", lambda: ByteBoundedCache(KEPT_WORD_BYTES))
+    new = set(w).difference(known)
+    if new:
+        known.room(list(new))
+        if not known:  # it started anew: the text's other words are missing as well
+            new = set(w)
+            known.room(list(new))
+        for x in new:
+            known[x] = xxhash.xxh3_64_intdigest(x)
     h = np.fromiter(map(known.__getitem__, w), np.uint64, len(w))
     n = len(w) - words + 1
     total = np.zeros(n, np.uint64)
@@ -237,6 +249,8 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 "doc_id": batch.column(0), "n_shingles": pa.array(n, pa.int64()),
                 "set_id": pa.array(number, pa.int64()), "keys": pa.array(keys, pa.list_(pa.int64())),
             })
+        seen.clear()
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text")).mapInArrow(run, SETS)
 
@@ -315,6 +329,9 @@ def _verify(percent: int):
             if (new == root).all():
                 break
             root = new
+        del linked, hashes
+        if len(number) > 256:
+            give_back()
         return pa.table({"u": number, "v": number[root], "n_links": n.astype(np.int64)})
 
     return run
@@ -351,6 +368,7 @@ def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bl
             same = pa.array([len(s) > 0 and set_number(s) == n for s, n in zip(found, batch.column(1).to_pylist(), strict=True)])
             out = batch.set_column(0, "shingles", pa.array([s.tobytes() for s in found], pa.binary()))
             yield out.filter(same)
+        give_back()
 
     block = F.pmod(F.xxhash64("set_id"), F.col("n_blocks")).cast("int")
     met = (

@@ -170,3 +170,19 @@ def test_one_row_of_each_class_stays(spark):
     assert len(kept) == len(classes) + len(empties)
     assert {i for i, t in kept if (t or "").split()} == classes
     assert J.one_per_class(docs.limit(0), 3, 90).count() == 0
+
+
+def test_word_cache_is_bounded_by_bytes(monkeypatch):
+    """Long words fill the cache as many short ones do; hashes stay the same when it starts anew."""
+    import numpy as np
+
+    from signalbox.llm import jaccard_join as J
+    from signalbox.llm.common import ByteBoundedCache
+
+    texts = [(" ".join(f"{i}{'x' * (i % 400)}" for i in range(k, k + 60))).encode() for k in range(0, 900, 30)]
+    plain = [J.shingle_set(t) for t in texts]
+    cache = ByteBoundedCache(20_000)
+    monkeypatch.setattr(J, "worker_cache", lambda name, make: cache)
+    for text, want in zip(texts, plain, strict=True):
+        assert np.array_equal(J.shingle_set(text), want)
+        assert sum(map(len, cache)) + cache.ENTRY * len(cache) <= max(20_000, 60 * (160 + 404))
