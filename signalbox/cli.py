@@ -3,6 +3,7 @@
 Commands
   compact        rewrite landed message files (multi-line JSON) as nested Parquet
   batch          parse message files, print the statistics, optionally write the fact tables
+  fold           rewrite the batch folders of closed days as one sorted set of files
   stream         run the feed stream into the fact tables, with optional detection per batch
   detect         detect anomalies over the fact tables and publish a new snapshot
   report         compute the dashboard frames and write each as a table
@@ -13,6 +14,7 @@ Commands
 from __future__ import annotations
 
 import argparse
+import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import SparkSession
@@ -59,6 +61,7 @@ def cmd_batch(spark, a):
 def cmd_stream(spark, a):
     from signalbox.plans.detection import run_detection
     from signalbox.sinks.writers import ParquetFactSink
+    from signalbox.streaming.admission import BatchCounts
     from signalbox.streaming.detection import IncrementalDetection
     from signalbox.streaming.micro_batch import run_until_stopped, start_feed_stream
 
@@ -79,14 +82,22 @@ def cmd_stream(spark, a):
         if a.windows:
             clean.then = LateWindows(spark, FeedEvents(clean), a.windows, a.watermark, then=clean.then)
     trigger = {"availableNow": True} if a.available_now else None
+    counts = BatchCounts(spark, a.counts, a.feed) if a.counts else None
     query = start_feed_stream(spark, a.feed, a.checkpoint, dim, sink, dim_rows, after, trigger, a.max_files,
-                              quarantine=a.quarantine)
+                              quarantine=a.quarantine, max_bytes_per_trigger=a.max_bytes, archive=a.archive,
+                              counts=counts)
     run_until_stopped(query)
     if hasattr(after, "catch_up"):
         after.catch_up()
     return query
 
 
+def cmd_fold(spark, a):
+    from signalbox.sinks.writers import ParquetFactSink
+
+    ParquetFactSink(a.tables).fold_days(spark, a.before, a.through, a.grace_hours * 3600)
+
+
 def cmd_detect(spark, a):
     from signalbox.plans.detection import run_detection
     from signalbox.sinks.writers import ParquetFactSink
@@ -184,9 +195,19 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--detect", choices=["none", "incremental", "full"], default="incremental")
     s.add_argument("--anomalies", help="anomaly table folder (needed unless --detect none)")
     s.add_argument("--max-files", type=int, default=10)
+    s.add_argument("--max-bytes", type=int, help="bytes of message files per trigger, in place of --max-files")
+    s.add_argument("--archive", help="move the files of committed batches here (outside the feed folder)")
+    s.add_argument("--counts", help="check messages in against rows out of each batch, and keep the counts here")
     s.add_argument("--available-now", action="store_true", help="drain the folder and stop")
     s.set_defaults(run=cmd_stream)
 
+    f = sub.add_parser("fold")
+    f.add_argument("--tables", required=True)
+    f.add_argument("--before", required=True, type=datetime.date.fromisoformat, help="fold the days before this one")
+    f.add_argument("--through", type=int, help="last batch to fold (default: the last but one)")
+    f.add_argument("--grace-hours", type=float, default=24, help="batch folders stay this long after their fold")
+    f.set_defaults(run=cmd_fold)
+
     d = sub.add_parser("detect")
     d.add_argument("--tables", required=True)
     d.add_argument("--anomalies", required=True)

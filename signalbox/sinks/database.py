@@ -222,11 +222,13 @@ class JdbcBatchSink:
         dated = rows.withColumn(DATE_COLUMN, F.to_date(epoch_ms_to_ts(time_column)))
         return dated.select(*[F.col(f.name).cast(f.dataType) for f in stored_schema(schema, dated=True).fields])
 
-    def read_movements_with_batch(self, spark: SparkSession) -> DataFrame:
-        return self._read("movements")
+    def read_movements_with_batch(self, spark: SparkSession, since: int | None = None) -> DataFrame:
+        rows = self._read("movements")
+        return rows if since is None else rows.filter(F.col(BATCH_COLUMN) >= since)
 
-    def read_cancellations_with_batch(self, spark: SparkSession) -> DataFrame:
-        return self._read("cancellations")
+    def read_cancellations_with_batch(self, spark: SparkSession, since: int | None = None) -> DataFrame:
+        rows = self._read("cancellations")
+        return rows if since is None else rows.filter(F.col(BATCH_COLUMN) >= since)
 
     def read_movements(self, spark: SparkSession) -> DataFrame:
         return self._read("movements").select(*MOVEMENT_TABLE_SCHEMA.fieldNames(), INSERT_TIME)

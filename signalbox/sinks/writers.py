@@ -138,13 +138,28 @@ class ParquetFactSink:
     def read_cancellations(self, spark: SparkSession) -> DataFrame:
         return read_fact_table(spark, self.cancellations_path, CANCELLATION_TABLE_SCHEMA)
 
-    def read_movements_with_batch(self, spark: SparkSession) -> DataFrame:
-        """All columns including ``inserted_at`` and the partition columns."""
-        return spark.read.schema(stored_schema(MOVEMENT_TABLE_SCHEMA, dated=True)).parquet(self.movements_path)
+    def read_movements_with_batch(self, spark: SparkSession, since: int | None = None) -> DataFrame:
+        """All columns including ``inserted_at`` and the partition columns, from batch ``since`` on."""
+        return read_stored(spark, self.movements_path, MOVEMENT_TABLE_SCHEMA, since)
 
-    def read_cancellations_with_batch(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(stored_schema(CANCELLATION_TABLE_SCHEMA, dated=True)).parquet(
-            self.cancellations_path)
+    def read_cancellations_with_batch(self, spark: SparkSession, since: int | None = None) -> DataFrame:
+        return read_stored(spark, self.cancellations_path, CANCELLATION_TABLE_SCHEMA, since)
+
+    def fold_days(self, spark: SparkSession, before, through: int | None = None, grace_seconds: float = 86_400) -> None:
+        """Fold the batch folders of the days before ``before`` and remove those folded ``grace_seconds`` ago.
+
+        ``through``: the last batch to fold; by default the last but one of the tables.
+        """
+        from signalbox.sinks.layout import FoldedTable
+
+        through = self.last_batch(spark) - 1 if through is None else through
+        for path, schema, time_col in ((self.movements_path, MOVEMENT_TABLE_SCHEMA, MOVEMENT_TIME),
+                                       (self.cancellations_path, CANCELLATION_TABLE_SCHEMA, CANCELLATION_TIME)):
+            fs, root = _hadoop_fs(spark, path)
+            if fs.exists(root):
+                table = FoldedTable(spark, path, schema)
+                table.fold(before, through, time_col)
+                table.retire(grace_seconds)
 
 
 def stored_schema(schema: T.StructType, dated: bool = False) -> T.StructType:
@@ -159,8 +174,14 @@ def stored_schema(schema: T.StructType, dated: bool = False) -> T.StructType:
 def read_fact_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows of all batches (fixed schema), with the insert time kept for the
     read-time dedup order."""
-    stored = stored_schema(schema, dated=True)
-    return spark.read.schema(stored).parquet(path).select(*schema.fieldNames(), "inserted_at")
+    return read_stored(spark, path, schema).select(*schema.fieldNames(), "inserted_at")
+
+
+def read_stored(spark: SparkSession, path: str, schema: T.StructType, since: int | None = None) -> DataFrame:
+    """A dated fact table with all stored columns: folded days and batch folders (``sinks.layout``)."""
+    from signalbox.sinks.layout import FoldedTable
+
+    return FoldedTable(spark, path, schema).read(since)
 
 
 class JdbcFactSink:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from signalbox.constants import MAX_FILES_PER_TRIGGER
 from signalbox.schemas import CORRUPT_COLUMN, FEED_SCHEMA
@@ -30,20 +31,38 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType = FEED_SCHEMA
     )
 
 
+def admitted(reader: DataStreamReader, max_files: int | None, max_bytes: int | None, archive: str | None) -> DataStreamReader:
+    """``reader`` of a file stream, bounded per trigger by bytes if given, else by files.
+
+    A file larger than ``max_bytes`` is a batch of its own. ``archive``: a
+    folder outside the landing folder, on the same file system, to which the
+    files of committed batches move; Spark moves them in the background once
+    the next batch is planned, so the files of the last one stay.
+    """
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes))
+    elif max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", int(max_files))
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader
+
+
 def read_feed_stream(
     spark: SparkSession,
     path: str,
     max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
     schema: T.StructType = FEED_SCHEMA,
+    max_bytes: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """S-02: file stream over the landing folder, rate limited per trigger.
+    """S-02: file stream over the landing folder, rate limited per trigger by files, or by bytes if given.
 
     Landing contract: writers create files under a temporary name and rename
     them into place, so a trigger never sees a half-written file.
     """
     return (
-        spark.readStream.option("multiLine", "true")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
+        admitted(spark.readStream, max_files_per_trigger, max_bytes, archive).option("multiLine", "true")
         .option("pathGlobFilter", JSON_GLOB)
         .schema(schema)
         .json(path)
@@ -56,7 +75,8 @@ def read_feed_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_feed_text_stream(
-    spark: SparkSession, path: str, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER
+    spark: SparkSession, path: str, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+    max_bytes: int | None = None, archive: str | None = None,
 ) -> DataFrame:
     """File stream of whole message files as text, with their path (``value``, ``file_path``).
 
@@ -64,7 +84,7 @@ def read_feed_text_stream(
     landing contract of ``read_feed_stream`` holds here too.
     """
     return (
-        spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+        admitted(spark.readStream, max_files_per_trigger, max_bytes, archive)
         .option("pathGlobFilter", JSON_GLOB)
         .text(path, wholetext=True)
         .select("value", F.col("_metadata.file_path").alias("file_path"))

@@ -47,7 +47,7 @@ def read_clean_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
 def fold_batches(spark: SparkSession, sink, clean_path: str, first: int, last: int, kind: str) -> None:
     """Append the new rows of the batches ``first`` to ``last`` to the clean table of ``kind``."""
     schema, key, reader = KINDS[kind]
-    table = getattr(sink, reader)(spark)
+    table = getattr(sink, reader)(spark, since=first)
     batches = table.filter(in_batches(first, last)).drop(BATCH_COLUMN)
     fresh = keep_first(batches, key, [F.col("inserted_at")]).drop("inserted_at")
     fs, root = _hadoop_fs(spark, clean_path)

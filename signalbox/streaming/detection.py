@@ -86,7 +86,7 @@ class IncrementalDetection(BatchStep):
         mv_table = self.sink.read_movements_with_batch(self.spark)
         cx_table = self.sink.read_cancellations_with_batch(self.spark)
 
-        new_mv = mv_table.filter(in_batches(first, last)).drop(BATCH_COLUMN, DATE_COLUMN, "inserted_at")
+        new_mv = self.sink.read_movements_with_batch(self.spark, since=first).filter(in_batches(first, last)).drop(BATCH_COLUMN, DATE_COLUMN, "inserted_at")
         large = detect_large_delays(new_mv).withColumn("kind", F.lit(KIND_LARGE))
         spikes = self._touched_spikes(cx_table, first, last).withColumn("kind", F.lit(KIND_SPIKE))
         write_batch_partition(large.unionByName(spikes), self.path, last)

@@ -18,6 +18,7 @@ from signalbox.constants import FEED_TRIGGER_INTERVAL, MAX_FILES_PER_TRIGGER
 from signalbox.operators import transforms as tf
 from signalbox.sinks.writers import _hadoop_fs, write_quarantine
 from signalbox.sources.feed import quarantine_rows, read_feed_stream, read_feed_text_stream
+from signalbox.streaming.admission import BatchCounts
 
 log = logging.getLogger(__name__)
 
@@ -29,6 +30,7 @@ def process_feed_batch(
     sink,
     dim_rows: int | None = None,
     after_write=None,
+    counts: BatchCounts | None = None,
 ) -> None:
     """Split, type, enrich and write one batch of feed messages.
 
@@ -36,6 +38,8 @@ def process_feed_batch(
     read it. ``after_write(batch_id)`` (e.g. anomaly detection) runs after
     both writes; its failure is logged and does not fail the batch. A
     ``BatchStep`` makes up for it in its next call or in ``catch_up``.
+    ``counts`` compares the messages with the rows that the writes took
+    (the sink must write both frames) and fails the batch where they differ.
     """
     batch = batch.select("header", "body").persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -43,7 +47,11 @@ def process_feed_batch(
             tf.calculate_delay(tf.extract_movements(batch)), location_dim, dim_rows
         )
         cancellations = tf.add_location_names(tf.extract_cancellations(batch), location_dim, dim_rows)
+        if counts is not None:
+            (movements, cancellations), seen = counts.observed(movements, cancellations)
         sink.write(movements, cancellations, batch_id)
+        if counts is not None:
+            counts.check(batch, seen, batch_id)
     finally:
         batch.unpersist()
     if after_write is not None:
@@ -90,6 +98,9 @@ def start_feed_stream(
     trigger: dict | None = None,
     max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
     quarantine: str | None = None,
+    max_bytes_per_trigger: int | None = None,
+    archive: str | None = None,
+    counts: BatchCounts | None = None,
 ) -> StreamingQuery:
     """T-01 ... T-04: start the feed stream.
 
@@ -105,16 +116,20 @@ def start_feed_stream(
     the tables as before, corrupt texts with their path to
     ``<quarantine>/batch_id=<n>`` (``read_quarantine``). Without it such files
     give no rows and leave no trace.
+
+    ``max_bytes_per_trigger`` takes the place of the number of files;
+    ``archive``: where files of committed batches move (``sources.feed.admitted``);
+    ``counts``: checks messages in against rows out of each batch.
     """
     start = first_batch(spark, checkpoint_dir, sink)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         if quarantine is not None:
             batch = route_texts(batch, quarantine, start + batch_id)
-        process_feed_batch(batch, start + batch_id, location_dim, sink, dim_rows, after_write)
+        process_feed_batch(batch, start + batch_id, location_dim, sink, dim_rows, after_write, counts)
 
     reader = read_feed_stream if quarantine is None else read_feed_text_stream
-    stream = reader(spark, source_dir, max_files_per_trigger)
+    stream = reader(spark, source_dir, max_files_per_trigger, max_bytes=max_bytes_per_trigger, archive=archive)
     writer = (
         stream.writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint_dir)
