@@ -10,6 +10,13 @@ or 1; a fixed hash decides the direction, so reruns agree. It runs in bounded
 blocks of a source; the at most two fractions that a block leaves go to the
 next level, until one block per source remains, whose last fractions are
 landed on the combination closest to the token total.
+
+A document far larger than its source's others would stay a fraction to the
+end and be rounded there, too late for the others to make up for it. Such
+dominating documents are decided first, each with its probability by a fixed
+hash unless only the other choice can still be made up for; their rounding is
+then shifted onto the probabilities of the source's other documents, which
+restores its token total before the flight (its document total follows).
 """
 
 from __future__ import annotations
@@ -29,6 +36,10 @@ SHARE = 1.5
 MOST_COPIES = 2
 BLOCK_ROWS = 4096
 EPS = 1e-9
+# A document dominates its source above this share of its size and this many times the mean size
+# of its documents, so a source has at most 1 / DOMINANT_SHARE of them.
+DOMINANT_SHARE = 0.005
+DOMINANT_TIMES = 10
 
 
 def sizes(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -130,6 +141,57 @@ def land(size: np.ndarray, prob: np.ndarray) -> np.ndarray:
     return out
 
 
+def decide(size: np.ndarray, prob: float, total: int, key: tuple, seed: int) -> np.ndarray:
+    """Zeros and ones for dominating documents, largest first.
+
+    ``total`` is the size of the whole source, of which ``prob`` is due. A
+    choice after which the remaining documents cannot meet what is due is left
+    for the other one where that comes closer.
+    """
+    due, left = prob * total, float(total)
+    out = np.zeros(len(size))
+    for i, s in enumerate(size):
+        left -= s
+        missed = [max(0.0, (due - s * x) - left, s * x - due) for x in (0, 1)]
+        x = int(_unit(seed, key, "dominating", i) < prob)
+        if missed[1 - x] < missed[x]:
+            x = 1 - x
+        out[i] = x
+        due -= s * x
+    return out
+
+
+def _dominating_first(open_rows: DataFrame, keys: tuple[str, ...], seed: int) -> tuple[DataFrame, DataFrame]:
+    """(dominating documents, decided; the others with their shifted probabilities), columns as given."""
+    names = open_rows.columns
+    mean = open_rows.groupBy(F.col("source").alias("m_source")).agg((F.sum("size") / F.count("*")).alias("mean_size"))
+    rows = open_rows.join(sized_broadcast(landed(mean, "mean-sizes")), F.col("source").eqNullSafe(F.col("m_source")))
+    heavy = (F.col("size") > F.col("source_size") * DOMINANT_SHARE) & (F.col("size") > F.col("mean_size") * DOMINANT_TIMES)
+
+    def run(block: pa.Table) -> pa.Table:
+        block = block.sort_by([("size", "descending"), *[(k, "ascending") for k in keys]])
+        key = (block["source"][0].as_py(),)
+        prob = decide(block["size"].to_numpy(), block["prob"][0].as_py(), block["source_size"][0].as_py(), key, seed)
+        return block.set_column(block.schema.get_field_index("prob"), "prob", pa.array(prob))
+
+    few = rows.filter(heavy).select(*names)
+    decided = landed(few.groupBy("source").applyInArrow(run, few.schema), "dominating")
+    held = landed(
+        decided.groupBy(F.col("source").alias("h_source")).agg(
+            F.sum("size").alias("held_size"), F.sum(F.col("size") * F.col("prob")).alias("held_taken")
+        ), "dominating-sizes",
+    )
+    due = F.col("prob") * F.col("source_size") - F.col("held_taken")
+    others = F.col("source_size") - F.col("held_size")
+    shifted = F.when(F.col("h_source_found").isNull() | (others <= 0), F.col("prob")).otherwise(
+        F.least(F.greatest(due / others, F.lit(0.0)), F.lit(1.0))
+    )
+    rest = rows.filter(~heavy).join(
+        sized_broadcast(held.withColumn("h_source_found", F.lit(True))), F.col("source").eqNullSafe(F.col("h_source")), "left"
+    )
+    return decided, rest.withColumn("prob", shifted).select(*names)
+
+
 def take(sized: DataFrame, wanted: DataFrame, keys: tuple[str, ...] = ("doc_id",), block_rows: int = BLOCK_ROWS,
          seed: int = 1) -> DataFrame:
     """``sized`` with source_size, target and copies (how often the mix takes the document).
@@ -145,11 +207,15 @@ def take(sized: DataFrame, wanted: DataFrame, keys: tuple[str, ...] = ("doc_id",
     rows = sized.join(sized_broadcast(names), F.col("source").eqNullSafe(F.col("w_source"))).drop("w_source")
     whole = F.floor("ratio").cast("long")
     rows = rows.withColumn("whole", whole).withColumn("prob", F.col("ratio") - whole)
-    sure = rows.filter((F.col("prob") <= EPS) | (F.col("prob") >= 1 - EPS)).withColumn(
-        "copies", F.col("whole") + F.round("prob").cast("long")
-    )
-    parts = [sure.drop("prob", "whole", "ratio")]
-    left = rows.filter((F.col("prob") > EPS) & (F.col("prob") < 1 - EPS)).drop("ratio")
+    rows = rows.drop("ratio")
+    settled = (F.col("prob") <= EPS) | (F.col("prob") >= 1 - EPS)
+    decided, others = _dominating_first(rows.filter(~settled), keys, seed)
+    others = landed(others, "shifted")
+    parts = [
+        r.withColumn("copies", F.col("whole") + F.round("prob").cast("long")).drop("prob", "whole")
+        for r in (rows.filter(settled), decided, others.filter(settled))
+    ]
+    left = others.filter(~settled)
     level = 0
     while True:
         left = landed(left, f"cube-{level}")
@@ -165,7 +231,6 @@ def take(sized: DataFrame, wanted: DataFrame, keys: tuple[str, ...] = ("doc_id",
         last = most <= block_rows
         settle = _settle(left.columns, [*keys, "size", "prob"], last, level, seed)
         done = landed(dealt.groupBy("source", "block").applyInArrow(settle, left.schema), f"flown-{level}")
-        settled = (F.col("prob") <= EPS) | (F.col("prob") >= 1 - EPS)
         parts.append(
             done.filter(settled).withColumn("copies", F.col("whole") + F.round("prob").cast("long")).drop("prob", "whole")
         )
