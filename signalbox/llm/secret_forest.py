@@ -273,32 +273,41 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel | None = None,
 
 
 def redact(docs: DataFrame, model: RandomForestClassificationModel | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with every secret replaced by ``SECRET_MARK``; all rows stay.
+    """``docs`` with every found secret replaced by ``SECRET_MARK`` at its place; all rows stay.
 
-    A column ``n_chars`` is set to the new length where a text changed. Rows
-    are matched by doc_id and a hash of the text, so the list of secrets of a
-    key is bounded by one text.
+    Secrets that overlap are one mark. The same characters elsewhere in the
+    text stay unless they are found there as well. A column ``n_chars`` is set
+    to the new length where a text changed. Rows are matched by doc_id and a
+    hash of the text, so the list of places of a key is bounded by one text.
     """
-    key_id, key_text, secrets = (unused_name(docs, x) for x in ("secret_id", "secret_text", "secrets"))
+    key_id, key_text, secrets, made = (unused_name(docs, x) for x in ("secret_id", "secret_text", "secrets", "new_text"))
     keys = {key_id: col("doc_id"), key_text: F.xxhash64(col("text"))}
-    found = scan(docs, model, threshold, keys).filter("is_secret").select(key_id, key_text, "value").distinct()
-    # Longer ones first, so that no secret is cut by one that it contains.
-    longest = F.transform(
-        F.sort_array(F.collect_list(F.struct(F.length("value").alias("n"), F.col("value").alias("v"))), asc=False),
-        lambda x: x["v"],
+    found = scan(docs, model, threshold, keys).filter("is_secret").select(
+        key_id, key_text, F.col("start").alias("s"), (F.col("start") + F.col("length")).alias("e")
+    ).distinct()
+    in_text = Window.partitionBy(key_id, key_text).orderBy("s", "e")
+    reached = F.max("e").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
+    runs = found.withColumn("opens", F.coalesce(F.col("s") >= reached, F.lit(True)).cast("int")).withColumn(
+        "run", F.sum("opens").over(in_text.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    lists = landed(found.groupBy(key_id, key_text).agg(longest.alias(secrets)), "secrets")
-    clean = F.aggregate(col(secrets), col("text"), lambda t, v: F.replace(t, v, F.lit(SECRET_MARK)))
-    new = F.when(col(secrets).isNull(), col("text")).otherwise(clean)
+    places = runs.groupBy(key_id, key_text, "run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    lists = landed(
+        places.groupBy(key_id, key_text).agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias(secrets)), "secrets"
+    )
+    # The pieces between the places: from the end of one to the start of the next.
+    from_ = F.concat(F.array(F.lit(0).cast("long")), F.transform(col(secrets), lambda x: x["e"]))
+    upto = F.concat(F.transform(col(secrets), lambda x: x["s"]), F.array(F.length(col("text")).cast("long")))
+    pieces = F.zip_with(from_, upto, lambda a, b: F.substring(col("text"), (a + 1).cast("int"), (b - a).cast("int")))
+    clean = F.array_join(pieces, SECRET_MARK)
     joined = docs.join(
         sized_broadcast(lists), col("doc_id").eqNullSafe(col(key_id)) & (F.xxhash64(col("text")) == col(key_text)), "left"
-    )
+    ).withColumn(made, F.when(col(secrets).isNull(), col("text")).otherwise(clean))
 
     def out(name: str) -> Column:
         if name == "text":
-            return new.alias("text")
+            return col(made).alias("text")
         if name == "n_chars":
-            length = F.when(col(secrets).isNull(), col(name)).otherwise(F.length(new))
+            length = F.when(col(secrets).isNull(), col(name)).otherwise(F.length(col(made)))
             return length.cast(docs.schema[name].dataType).alias(name)
         return col(name)
 

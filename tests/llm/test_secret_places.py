@@ -43,3 +43,31 @@ def test_text_around_is_not_cut_at_other_candidates(spark):
     for r in rows:
         assert r.before == text[max(0, r.start - S.LEFT_CHARS) : r.start]
         assert r.after == text[r.start + len(r.value) :][: S.RIGHT_CHARS]
+
+
+def test_replaced_at_the_places_only(spark):
+    model = S.fit_forest(S.labelled_findings(spark))
+    texts = [
+        "password = summer2019! then asummer2019!b ends",
+        f"é{chr(0x1F600)} password={HEX} and password={HEX}",
+        f"{HEX}: password={HEX}\npassword=Tr0ub4dor&3!xyzzyQ",
+        None, "", "nothing here",
+    ]
+    docs = spark.createDataFrame([(i, t, -1) for i, t in enumerate(texts)] + [(0, texts[0], -1)],
+                                 "doc_id long, text string, n_chars int")
+    places = {}
+    for r in S.scan(docs, model).filter("is_secret").collect():
+        places.setdefault(r.doc_id, set()).update(range(r.start, r.start + r.length))
+    got = S.redact(docs, model).collect()
+    assert len(got) == len(texts) + 1
+    for r in got:
+        text, hidden = texts[r.doc_id], places.get(r.doc_id)
+        if not hidden:
+            assert (r.text, r.n_chars) == (text, -1)
+            continue
+        want = "".join(
+            "" if i in hidden and i - 1 in hidden else S.SECRET_MARK if i in hidden else c for i, c in enumerate(text)
+        )
+        assert r.text == want and r.n_chars == len(want)
+    assert {0, 1, 2} <= set(places)
+    assert all("asummer2019!b" in r.text for r in got if r.doc_id == 0)
