@@ -58,7 +58,8 @@ from signalbox.llm.components import components
 
 WORDS = 3
 PERCENT = 90
-BLOCK_SETS = 1024
+BLOCK_SETS = 2048
+BLOCK_SHINGLES = 1 << 22
 KEPT_WORD_BYTES = 24 << 20
 SEEN_SETS = 100_000
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -289,22 +290,43 @@ def membership(sets: list[np.ndarray], columns: int) -> Iterator[tuple[np.ndarra
         yield matrix, weight[at : at + columns].astype(np.float32)
 
 
-def links(sets: list[np.ndarray], percent: int, columns: int = 4096) -> np.ndarray:
-    """Boolean matrix: which sets (ascending distinct hashes) link; the diagonal is False."""
-    size = np.array([len(s) for s in sets], np.int64)
-    common = np.zeros((len(sets), len(sets)), np.float64)
+def links_between(left: list[np.ndarray], right: list[np.ndarray], percent: int, columns: int = 2048) -> np.ndarray:
+    """Boolean matrix left x right: which sets (ascending distinct hashes) link. ``right`` may be ``left`` itself."""
+    sets = left if right is left else left + right
+    at = 0 if right is left else len(left)
+    size = np.array([len(s) for s in right], np.int64)
+    common = np.zeros((len(left), len(right)), np.float64)
     for matrix, weight in membership(sets, columns):
-        common += (matrix * weight) @ matrix.T
+        common += (matrix[: len(left)] * weight) @ matrix[at:].T
     # 100 * common >= percent * (both sizes - common), whole numbers that a double holds exactly
     np.rint(common, out=common)
     common *= 100 + percent
     out = np.empty(common.shape, bool)
-    for i, own in enumerate(size):
-        out[i] = common[i] >= percent * (own + size)
+    for i, own in enumerate(left):
+        out[i] = common[i] >= percent * (len(own) + size)
+    return out
+
+
+def links(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Boolean matrix: which of the sets link with each other; the diagonal is False."""
+    out = links_between(sets, sets, percent)
     np.fill_diagonal(out, False)
     return out
 
 
+def smallest_reached(linked: np.ndarray, left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    """Per position 0 ... n - 1 the smallest one that it reaches by links between ``left`` and ``right`` positions."""
+    root = np.arange(n, dtype=np.int32)
+    while True:
+        new = root.copy()
+        new[left] = np.minimum(new[left], np.where(linked, root[right][None, :], n).min(axis=1, initial=n))
+        new[right] = np.minimum(new[right], np.where(linked, root[left][:, None], n).min(axis=0, initial=n))
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 VERIFIED = "u long, v long, n_links long"
 
 
@@ -313,48 +335,49 @@ def _verify(percent: int):
 
     def run(block: pa.Table) -> pa.Table:
         number, at = np.unique(block["set_id"].to_numpy(), return_index=True)
-        hashes = block["shingles"]
-        linked = links([np.frombuffer(hashes[int(i)].as_py(), np.uint64) for i in at], percent)
-        copies, own = block["copies"].to_numpy()[at], block["own"].to_numpy()[at]
-        if block["p"][0].as_py() != block["q"][0].as_py():  # two blocks: pairs across them only
-            linked &= own[:, None] != own[None, :]
-        n = linked @ copies
-        first = np.where(linked.any(axis=1), linked.argmax(axis=1), np.arange(len(number)))
-        # Numbers ascend: lower every set's root to the smallest it reaches, until nothing changes.
-        root = np.minimum(first, np.arange(len(number)))
-        while True:
-            reach = np.where(linked, root[None, :], len(number)).min(axis=1)
-            new = np.minimum(root, reach)
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
-        del linked, hashes
+        hashes, copies, own = block["shingles"], block["copies"].to_numpy()[at], block["own"].to_numpy()[at]
+        sets = [np.frombuffer(hashes[int(i)].as_py(), np.uint64) for i in at]
+        every, n = np.arange(len(number)), np.zeros(len(number), np.int64)
+        p, q = block["p"][0].as_py(), block["q"][0].as_py()
+        if p == q:
+            left = right = every
+            linked = links(sets, percent)
+            n += linked @ copies
+        else:  # pairs across the two blocks only; those within one belong to its own pair (p, p)
+            left, right = every[own == p], every[own == q]
+            linked = links_between([sets[i] for i in left], [sets[i] for i in right], percent)
+            n[left] = linked @ copies[right]
+            n[right] = copies[left] @ linked
+        root = smallest_reached(linked, left, right, len(number))
+        del linked, hashes, sets
         if len(number) > 256:
             give_back()
-        return pa.table({"u": number, "v": number[root], "n_links": n.astype(np.int64)})
+        return pa.table({"u": number, "v": number[root], "n_links": n})
 
     return run
 
 
-def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
+def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS,
+                 block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """doc_id, n_shingles, set_id, class_set, n_links per row of ``docs``.
 
     Rows with equal ``class_set`` are connected by links of at least
     ``percent`` % Jaccard similarity; ``n_links`` counts the other rows a row
     links to directly (equal sets included). A null or wordless text has no
-    set (null set_id and class_set, 0 shingles) and links with nothing.
+    set (null set_id and class_set, 0 shingles) and links with nothing. A
+    cluster is cut into so many blocks that one holds about ``block_sets``
+    sets and ``block_shingles`` shingles at most.
     """
     sets = landed(_sets(docs, words, percent), "shingle-sets")
     clusters = components(_postings_to_edges(sets)).select(F.col("node").alias("c_set"), F.col("label").alias("cluster"))
-    copies = sets.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"))
-    sizes = clusters.groupBy(F.col("cluster").alias("s_cluster")).agg(
-        F.ceil(F.count("*") / block_sets).cast("int").alias("n_blocks")
+    copies = sets.filter("set_id IS NOT NULL").groupBy("set_id").agg(
+        F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size")
     )
+    members = landed(clusters.join(copies, F.col("c_set") == F.col("set_id")).drop("c_set"), "cluster-members")
+    blocks = F.greatest(F.count("*") / block_sets, F.sum("size") / block_shingles)
+    sizes = members.groupBy(F.col("cluster").alias("s_cluster")).agg(F.ceil(blocks).cast("int").alias("n_blocks"))
     wanted = landed(
-        clusters.join(copies, F.col("c_set") == F.col("set_id"))
-        .join(sizes, F.col("cluster") == F.col("s_cluster"))
-        .select("rep", "set_id", "cluster", "copies", "n_blocks"),
+        members.join(sizes, F.col("cluster") == F.col("s_cluster")).select("rep", "set_id", "cluster", "copies", "n_blocks"),
         "candidates",
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text")).join(

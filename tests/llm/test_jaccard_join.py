@@ -186,3 +186,33 @@ def test_word_cache_is_bounded_by_bytes(monkeypatch):
     for text, want in zip(texts, plain, strict=True):
         assert np.array_equal(J.shingle_set(text), want)
         assert sum(map(len, cache)) + cache.ENTRY * len(cache) <= max(20_000, 60 * (160 + 404))
+
+
+def test_links_between_two_blocks_equal_sets():
+    rng = random.Random(2)
+    sets = [np.array(sorted(rng.sample(range(1, 60), rng.randint(1, 40))), np.uint64) for _ in range(50)]
+    want = J.links(sets, 50)
+    for columns in (1, 7, 2048):
+        assert np.array_equal(J.links_between(sets[:20], sets[20:], 50, columns), want[:20, 20:])
+    left, right = np.arange(0, 50, 2), np.arange(1, 50, 2)
+    linked = want[np.ix_(left, right)]
+    reach = {i: {i} for i in range(50)}
+    for _ in range(50):
+        for a, i in enumerate(left):
+            for b, j in enumerate(right):
+                if linked[a, b]:
+                    reach[i] = reach[j] = reach[i] | reach[j]
+    assert J.smallest_reached(linked, left, right, 50).tolist() == [min(reach[i]) for i in range(50)]
+
+
+@pytest.mark.parametrize("bound", [{"block_sets": 3}, {"block_shingles": 400}])
+def test_links_do_not_depend_on_the_blocks(spark, bound):
+    rows = _texts(5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = J.link_classes(docs, 5, 80, **bound).collect()
+    least = {}
+    for r in got:
+        if r.doc_id is not None and r.class_set is not None:
+            least[r.class_set] = min(least.get(r.class_set, r.doc_id), r.doc_id)
+    found = [(r.doc_id, r.n_shingles, least.get(r.class_set, r.doc_id), r.n_links) for r in got]
+    assert sorted(found, key=repr) == _brute(rows, 5, 80)
