@@ -106,24 +106,6 @@ def give_back() -> None:
         pass
 
 
-class ByteBoundedCache(dict):
-    """A dictionary of small values that starts anew when its entries take about ``limit`` bytes."""
-
-    ENTRY = 160  # a dictionary slot, the objects' headers and a number
-
-    def __init__(self, limit: int):
-        super().__init__()
-        self.limit, self.held = limit, 0
-
-    def room(self, keys: list[bytes]) -> None:
-        """Make room for ``keys``; call before they are added."""
-        need = sum(map(len, keys)) + self.ENTRY * len(keys)
-        if self.held + need > self.limit:
-            self.clear()
-            self.held = 0
-        self.held += need
-
-
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Texts go to Python in batches of at most ``rows``, which bounds the workers' memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -14,16 +14,25 @@ at most one element in a segment with v = 2.
   with v = 2 also posts its one-deletion neighbourhood. How many segments get
   v = 2 is chosen per band by a cost model (postings written plus expected
   chance matches).
-* An empty segment would be one posting list for unrelated sets, so it is
-  given v = 0. If two sets agree in a empty segments and nothing else, at most
-  a - 1 of their other segments differ by more than one element; so a set with
-  w empty segments posts, for each of them, the one-deletion neighbourhoods of
-  the next w segments instead (where such a neighbour is empty itself, those
-  of the next w after it as well). Bands whose segments have fewer than three
+* Slack: H is that of the largest sets of a space. A set of fewer elements
+  differs from any similar one in at most H - c elements (c: its slack), so the
+  two agree in at least 1 + c of the m = H + 1 segments.
+* An empty segment would be one posting list for unrelated sets, so it is not
+  posted. A set with e empty segments may leave out its first c - e segments as
+  well: an agreement that is not empty remains, whatever the other leaves out.
+  Where e > c all are posted, and more: let two such sets agree in a empty
+  segments and in no other, and let b segments be empty in one and hold one
+  element in the other. The rest, m - a - b segments, differ in one element
+  each and in a - 1 - c more in total, so among any 2 a + b - c segments is one
+  that differs by exactly one element and is not of the b. With s segments of
+  at most one element, e >= a and s >= a + b, so each of the two posts the
+  one-deletion neighbourhoods of its first e + s - c segments and both cover the
+  first 2 a + b - c (c the larger slack). That is exact while these are at most
+  m; a set with e + s - c > m posts its segments under a second, third and fourth
+  order of the universe too, and where it is as thin in all of them, its empty
+  segments like any others. So a set posts at most 4 * (elements + 3 m) keys a
+  space, whatever its hashes are. Bands whose segments have fewer than three
   elements on average post empty segments like any others.
-* Where a band has so many segments that a similar pair agrees in a larger one
-  all but surely (chance of a miss below 1e-15, the order of a collision of
-  64-bit hashes), segments of a few elements are not posted at all.
 
 Sets that share a posting form clusters (connected components of postings).
 Only their texts are read a second time; each cluster is verified exactly, all
@@ -34,7 +43,7 @@ with the smallest set it reaches and its number of links.
 
 from __future__ import annotations
 
-import math
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -46,13 +55,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from signalbox.llm.common import (
-    ByteBoundedCache,
     col,
     give_back,
     landed,
     sized_broadcast,
     utf8,
-    worker_cache,
 )
 from signalbox.llm.components import components
 
@@ -60,9 +67,12 @@ WORDS = 3
 PERCENT = 90
 BLOCK_SETS = 2048
 BLOCK_SHINGLES = 1 << 22
-KEPT_WORD_BYTES = 24 << 20
 SEEN_SETS = 100_000
+ORDERS = 4
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
+# Words are hashed many at a time, in pieces of a text of at most PIECE bytes and the rest of a word.
+PIECE, LONG_WORD = 1 << 18, 64
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -72,27 +82,71 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@lru_cache(maxsize=1)
+def _byte_values() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(value per byte, A-Z as a-z; which bytes part words; powers of an odd number; powers of its inverse)."""
+    values = _mixed(np.arange(1, 257, dtype=np.uint64))
+    values[0x41:0x5B] = values[0x61:0x7B]
+    gaps = np.zeros(256, bool)
+    gaps[[0x20, *range(0x09, 0x0E)]] = True
+    base = 0x9E3779B97F4A7C15
+
+    def powers(of: int) -> np.ndarray:
+        steps = np.full(2 * PIECE, of, np.uint64)
+        steps[0] = 1
+        return np.cumprod(steps, dtype=np.uint64)
+
+    return values, gaps, powers(base), powers(pow(base, -1, 1 << 64))
+
+
+def _hashes_of_piece(piece: bytes) -> np.ndarray:
+    """64-bit hashes of the words of at most 2 * PIECE bytes: polynomials of their bytes, by differences of sums.
+
+    Words over LONG_WORD bytes, for which such polynomials are weak, are hashed one by one.
+    """
+    values, gaps, powers, inverse = _byte_values()
+    buffer = np.frombuffer(piece, np.uint8)
+    edges = np.flatnonzero(np.diff(gaps[buffer], prepend=True, append=True))
+    start, end = edges[::2], edges[1::2]
+    sums = np.zeros(len(buffer) + 1, np.uint64)
+    np.cumsum(values[buffer] * powers[: len(buffer)], out=sums[1:])
+    length = end - start
+    out = _mixed((sums[end] - sums[start]) * inverse[start] + length.astype(np.uint64))
+    for i in np.flatnonzero(length > LONG_WORD).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(piece[start[i] : end[i]].translate(_LOWER))
+    return out
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hash of each word of the text in order, A-Z lower-cased."""
+    if len(text) <= PIECE:
+        return _hashes_of_piece(text)
+    out, at = [], 0
+    while at < len(text):
+        cut = _GAP.search(text, at + PIECE)
+        stop = cut.start() if cut else len(text)
+        if stop - at <= 2 * PIECE:
+            out.append(_hashes_of_piece(text[at:stop]))
+        else:  # ends in a word of more than PIECE bytes
+            *words, last = text[at:stop].split()
+            out.append(_hashes_of_piece(b" ".join(words)))
+            out.append(np.array([xxhash.xxh3_64_intdigest(last.translate(_LOWER))], np.uint64))
+        at = stop
+    return np.concatenate(out)
+
+
 def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
     """Ascending distinct hashes of the text's shingles (A-Z lower-cased).
 
     With fewer words than ``words`` the whole sequence is one; without words none.
     """
-    w = text.translate(_LOWER).split()
-    if not w:
+    h = word_hashes(text)
+    if not len(h):
         return np.zeros(0, np.uint64)
-    if len(w) < words:
+    if len(h) < words:
+        w = text.translate(_LOWER).split()
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(w), seed=len(w))], np.uint64)
-    known = worker_cache("word hashes", lambda: ByteBoundedCache(KEPT_WORD_BYTES))
-    new = set(w).difference(known)
-    if new:
-        known.room(list(new))
-        if not known:  # it started anew: the text's other words are missing as well
-            new = set(w)
-            known.room(list(new))
-        for x in new:
-            known[x] = xxhash.xxh3_64_intdigest(x)
-    h = np.fromiter(map(known.__getitem__, w), np.uint64, len(w))
-    n = len(w) - words + 1
+    n = len(h) - words + 1
     total = np.zeros(n, np.uint64)
     for i in range(words):
         total = total * np.uint64(0x9E3779B97F4A7C15) + h[i : i + n]
@@ -145,24 +199,10 @@ class Bands:
         twos = min(range((need + 1) // 2 + 1), key=cost)
         return twos, max(0, need - 2 * twos)
 
-    @lru_cache(maxsize=None)  # noqa: B019
-    def unposted(self, k: int) -> int:
-        """Segments with so many elements or fewer are not posted in space ``k`` (-1: all are).
-
-        A similar pair differs in at most H = m - 1 elements, which leave each
-        of m segments untouched with a chance of about 1 / e.
-        """
-        twos, m = self.allocation(k)
-        if twos:
-            return -1
-        mean = (1 + (self.ends[k - 1] if k else 0)) / m
-        best, below, term = -1, 0.0, math.exp(-mean)
-        for t in range(4):
-            below += term
-            term *= mean / (t + 1)
-            if (1 - (1 - below) / math.e) ** m < 1e-15:
-                best = t
-        return best
+    def slack(self, size: int, k: int) -> int:
+        """By how many elements less than H a set of ``size`` elements can differ from a similar one in space ``k``."""
+        other = self.largest(size) if self.band(size) == k else self.ends[k]
+        return self.differences(k) - (size + other) * (100 - self.percent) // (100 + self.percent)
 
     def spaces(self, size: int) -> list[int]:
         """Spaces that a set of ``size`` elements posts in."""
@@ -170,58 +210,66 @@ class Bands:
         return [k] + ([k - 1] if k and size <= self.largest(self.ends[k - 1]) else [])
 
 
+def _ordered_postings(shingles: np.ndarray, k: int, twos: int, m: int, order: int, slack: int | None
+                      ) -> tuple[list[np.ndarray], np.ndarray, bool]:
+    """(posting keys, keys of the empty segments, is thin) of a set in space ``k`` under one order of the universe.
+
+    Without ``slack`` empty segments are posted like any others.
+    """
+    if order:
+        shingles = np.sort(_mixed(shingles ^ np.uint64(order * 0xA0761D6478BD642F & (1 << 64) - 1)))
+    own = _mixed(shingles ^ np.uint64(0xD6E8FEB86659FD93))
+    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own, dtype=np.uint64)])
+    # Hashes are ascending, so the segments of the universe are runs of them.
+    part = ((shingles >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
+    edge = np.searchsorted(part, np.arange(m + 1, dtype=np.uint64))
+    count = np.diff(edge).astype(np.uint64)
+    total = running[edge[1:]] - running[edge[:-1]]
+    place = _mixed(np.arange(m, dtype=np.uint64) + np.uint64((k + 1) << 32 | order << 30))
+    full = _mixed(total + _mixed(place + count))
+    if slack is None:
+        out = [full]
+        if twos:  # one-deletion neighbourhoods: an element's segment without it
+            at = np.flatnonzero(part < np.uint64(twos))
+            of = part[at].astype(int)
+            out.append(_mixed(total[of] - own[at] + _mixed(place[of] + count[of] - np.uint64(1))))
+        return out, full[:0], False
+    empty = full[count == 0]
+    left_out = max(0, slack - len(empty))
+    out, first = [full[left_out:][count[left_out:] > 0]], 0
+    if len(empty) > slack:
+        first = len(empty) + int((count <= 1).sum()) - slack
+        n = min(first, m)
+        salt = place[:n] + np.uint64(1 << 62)
+        some = np.flatnonzero(count[:n] > 0)
+        out.append(_mixed(total[some] + _mixed(salt[some] + count[some])))
+        of = part[: edge[n]].astype(int)
+        at = np.flatnonzero(count[of] > 1)
+        of = of[at]
+        out.append(_mixed(total[of] - own[at] + _mixed(salt[of] + count[of] - np.uint64(1))))
+    return out, empty, first > m
+
+
 def postings(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     """Signed 64-bit posting keys of a set."""
     if not len(shingles):
         return np.zeros(0, np.int64)
-    own = _mixed(shingles ^ np.uint64(0xD6E8FEB86659FD93))
-    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own, dtype=np.uint64)])
     out = []
     for k in bands.spaces(len(shingles)):
         twos, ones = bands.allocation(k)
         m = twos + ones
-        # Hashes are ascending, so the segments of the universe are runs of them.
-        part = ((shingles >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
-        edge = np.searchsorted(part, np.arange(m + 1, dtype=np.uint64))
-        count = np.diff(edge).astype(np.uint64)
-        total = running[edge[1:]] - running[edge[:-1]]
-        place = _mixed(np.arange(m, dtype=np.uint64) + np.uint64((k + 1) << 32))
-        least = bands.unposted(k)
-        beside = least < 0 and not twos and bands.ends[k] >= 3 * m
-        empty = np.flatnonzero(count == 0) if beside else []
-        posted = count > max(least, 0) if beside or least >= 0 else np.ones(m, bool)
-        out.append(_mixed(total + _mixed(place + count))[posted])
-        if twos:  # one-deletion neighbourhoods: an element's segment without it
-            at = np.flatnonzero(part < np.uint64(twos))
-            of = part[at].astype(int)
-            out.append(_mixed(total[of] - own[at] + _mixed(place[of] + count[of] - np.uint64(1))))
-        for i in empty:
-            out.extend(_beside_empty(int(i), len(empty), total, count, own, edge, place))
+        slack = bands.slack(len(shingles), k) if not twos and bands.ends[k] >= 3 * m else None
+        thin, order, empties = True, 0, []
+        while thin and order < ORDERS:
+            keys, empty, thin = _ordered_postings(shingles, k, twos, m, order, slack)
+            out += keys
+            empties.append(empty)
+            order += 1
+        if thin:
+            out += empties
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
-def _beside_empty(i: int, w: int, total: np.ndarray, count: np.ndarray, own: np.ndarray, edge: np.ndarray,
-                  place: np.ndarray) -> Iterator[np.ndarray]:
-    """Posting keys that stand for the empty segment ``i`` of a set with ``w`` empty segments."""
-    m = len(count)
-    start = frozenset([i])
-    todo, seen = [start], {start}
-    while todo:
-        used = todo.pop()
-        salt = _mixed(place[i : i + 1] + np.uint64(1 << 62)) + place[list(used - {i})].sum(dtype=np.uint64)
-        following = [j % m for j in range(i + 1, i + m) if j % m not in used][:w]
-        for j in following:
-            beside = _mixed(salt + _mixed(place[j : j + 1]))
-            n = count[j]
-            if n:
-                yield _mixed(total[j] + _mixed(beside + n))
-            if n > 1:
-                yield _mixed(total[j] - own[edge[j] : edge[j + 1]] + _mixed(beside + n - np.uint64(1)))
-            elif used | {j} not in seen:  # nothing is left of the neighbour: its successors tell
-                seen.add(used | {j})
-                todo.append(used | {j})
-
-
 SETS = "doc_id long, n_shingles long, set_id long, keys array<long>"
 
 

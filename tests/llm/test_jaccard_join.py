@@ -37,34 +37,93 @@ def test_similar_sets_share_a_posting(percent):
     assert seen > 500
 
 
-def test_pairs_that_agree_in_empty_segments_only_share_a_posting():
-    """Every segment of a pair differs by one element but for the empty ones."""
-    rng, bands = random.Random(3), J.Bands(80)
-    checked = 0
-    for _ in range(4000):
-        size = rng.randint(8, 40)
+def _inside(rng, j, m):
+    """A number of segment ``j`` of ``m``."""
+    return (((j << 32) // m + 1 + rng.getrandbits(16)) << 32) | rng.getrandbits(32)
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_pairs_that_agree_in_empty_segments_only_share_a_posting(percent):
+    """Every segment differs but for the empty ones, in as many elements as similar sets may."""
+    rng, bands = random.Random(percent), J.Bands(percent)
+    checked, thin = 0, 0
+    for _ in range(30_000):
+        size = rng.randint(8, 60) if rng.random() < 0.8 else rng.randint(60, 400)
         k = bands.band(size)
         twos, m = bands.allocation(k)
-        if twos or m < 3 or bands.unposted(k) >= 0:
+        if twos or m < 3 or bands.ends[k] < 3 * m:
             continue
-        n_empty = rng.randint(1, min(3, m - 1))
-        empty = set(rng.sample(range(m), n_empty))
+        empty = set(rng.sample(range(m), rng.randint(1, m - 1)))
         full = [j for j in range(m) if j not in empty]
-        inside = lambda j: (((j << 32) // m + 1 + rng.getrandbits(20)) << 32) | rng.getrandbits(32)  # noqa: B023, E731
-        a = {inside(rng.choice(full)) for _ in range(size)}
+        few = set(rng.sample(full, rng.randint(0, len(full) - 1)))  # empty in one, one element in the other
+        many = [j for j in full if j not in few]
+        a = {_inside(rng, rng.choice(many), m) for _ in range(size)}
         b = set(a)
-        for j in full:
-            own = [x for x in a if (x >> 32) * m >> 32 == j]
+        for j in few:
+            (a if rng.random() < 0.5 else b).add(_inside(rng, j, m))
+        changes = many + rng.choices(many, k=max(0, bands.differences(k) - len(full)))
+        for j in changes:
+            own = [x for x in b & a if (x >> 32) * m >> 32 == j]
             if own and rng.random() < 0.5:
                 b.discard(rng.choice(own))
             else:
-                b.add(inside(j))
-        if not b or not all(bands.band(len(x)) == k for x in (a, b)) or len(a ^ b) > bands.differences(k):
+                (a if rng.random() < 0.5 else b).add(_inside(rng, j, m))
+        if not a or not b or 100 * len(a & b) < percent * len(a | b):
             continue
         checked += 1
+        thin += 2 * len(empty) + len(few) > m
         keys = [set(J.postings(np.array(sorted(x), np.uint64), bands).tolist()) for x in (a, b)]
-        assert keys[0] & keys[1]
-    assert checked > 100
+        assert keys[0] & keys[1], (len(a), len(b), m, empty)
+    assert checked > 1000 and thin > 100
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_large_similar_sets_share_a_posting(percent):
+    """As different as similar sets may be, at every place of their size band."""
+    rng, bands = np.random.default_rng(percent), J.Bands(percent)
+    for size in [366, 718, 1500, 1501, 2000, 2400, 3000] * 12:
+        every = rng.integers(0, 1 << 64, 2 * size, dtype=np.uint64)
+        inter = int(np.ceil(size * percent / 100)) if rng.random() < 0.5 else int(np.ceil(2 * size * percent / (100 + percent)))
+        a, b = every[:size], np.concatenate([every[:inter], every[size : size + (size - inter)]])
+        if rng.random() < 0.5:
+            b = every[:inter]
+        if 100 * inter < percent * (len(a) + len(b) - inter):
+            continue
+        keys = [set(J.postings(np.unique(x), bands).tolist()) for x in (a, b)]
+        assert keys[0] & keys[1], (len(a), len(b))
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_postings_are_bounded_whatever_the_hashes_are(percent):
+    rng, bands = np.random.default_rng(5), J.Bands(percent)
+    for size in (9, 40, 200, 2000):
+        for spread in (1 << 64, 1 << 63, 1 << 60, 1 << 33, 1 << 20):
+            s = np.unique(rng.integers(0, spread, size, dtype=np.uint64))
+            most = sum(4 * (len(s) + 3 * sum(bands.allocation(k))) for k in bands.spaces(len(s)))
+            assert 0 < len(J.postings(s, bands)) <= most
+
+
+def test_words_are_hashed_alike_wherever_they_stand(monkeypatch):
+    words = [b"a", b"A", b"ab", b"ba", b"\xc3\xa9t\xc3\xa9", b"x" * 64, b"x" * 65, b"x" * 300, b"AB", b"Z" * 70, b"z" * 70]
+    alone = [J.word_hashes(w) for w in words]
+    assert all(len(h) == 1 for h in alone)
+    lower = [w.lower() for w in words]
+    for i, x in enumerate(lower):
+        for j, y in enumerate(lower):
+            assert (alone[i][0] == alone[j][0]) == (x == y)
+    rng = random.Random(6)
+    for piece in (J.PIECE, 200, J.LONG_WORD):
+        monkeypatch.setattr(J, "PIECE", piece)
+        J._byte_values.cache_clear()
+        for _ in range(200):
+            order = [rng.randrange(len(words)) for _ in range(rng.randint(0, 60))]
+            gaps = [bytes(rng.choices(b" \t\n\x0b\x0c\r", k=rng.randint(1, 3))) for _ in range(len(order) + 1)]
+            text = gaps[0] + b"".join(words[i] + g for i, g in zip(order, gaps[1:], strict=True))
+            if rng.random() < 0.5:
+                text = text.strip()
+            assert J.word_hashes(text).tolist() == [alone[i][0] for i in order]
+    monkeypatch.undo()
+    J._byte_values.cache_clear()
 
 
 def test_bands_cover_every_similar_size():
