@@ -33,6 +33,11 @@ at most one element in a segment with v = 2.
   segments like any others. So a set posts at most 4 * (elements + 3 m) keys a
   space, whatever its hashes are. Bands whose segments have fewer than three
   elements on average post empty segments like any others.
+* The join is exact by default. A caller may allow a chance of a miss
+  (``miss``): where a band has so many segments that a similar pair agrees in a
+  larger one but for that chance (an estimate that treats segments as
+  independent), segments of up to three elements are not posted, which keeps
+  shared passages from joining long documents into large clusters.
 
 Sets that share a posting form clusters (connected components of postings).
 Only their texts are read a second time; each cluster is verified exactly, all
@@ -43,6 +48,7 @@ with the smallest set it reaches and its number of links.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -68,6 +74,8 @@ PERCENT = 90
 BLOCK_SETS = 2048
 BLOCK_SHINGLES = 1 << 22
 SEEN_SETS = 100_000
+# A chance of a miss per link that a caller may allow: the order of a collision of 64-bit hashes.
+RARE_MISS = 1e-15
 ORDERS = 4
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
@@ -165,8 +173,8 @@ class Bands:
     #: Cost model: chance that a set holds a given other element, and the verification cost of a chance match.
     SHARED, VERIFY = 0.3, 50.0
 
-    def __init__(self, percent: int = PERCENT):
-        self.percent = percent
+    def __init__(self, percent: int = PERCENT, miss: float = 0.0):
+        self.percent, self.miss = percent, miss
         self.ends = [1]
 
     def largest(self, size: int) -> int:
@@ -199,6 +207,25 @@ class Bands:
         twos = min(range((need + 1) // 2 + 1), key=cost)
         return twos, max(0, need - 2 * twos)
 
+    @lru_cache(maxsize=None)  # noqa: B019
+    def unposted(self, k: int) -> int:
+        """Segments with so many elements or fewer are not posted in space ``k`` (-1: none is left out for its size).
+
+        A similar pair differs in at most H = m - 1 elements, which leave each
+        of m segments untouched with a chance of about 1 / e.
+        """
+        twos, m = self.allocation(k)
+        if twos or not self.miss:
+            return -1
+        mean = (1 + (self.ends[k - 1] if k else 0)) / m
+        best, below, term = -1, 0.0, math.exp(-mean)
+        for t in range(4):
+            below += term
+            term *= mean / (t + 1)
+            if (1 - (1 - below) / math.e) ** m < self.miss:
+                best = t
+        return best
+
     def slack(self, size: int, k: int) -> int:
         """By how many elements less than H a set of ``size`` elements can differ from a similar one in space ``k``."""
         other = self.largest(size) if self.band(size) == k else self.ends[k]
@@ -210,11 +237,11 @@ class Bands:
         return [k] + ([k - 1] if k and size <= self.largest(self.ends[k - 1]) else [])
 
 
-def _ordered_postings(shingles: np.ndarray, k: int, twos: int, m: int, order: int, slack: int | None
-                      ) -> tuple[list[np.ndarray], np.ndarray, bool]:
+def _ordered_postings(shingles: np.ndarray, k: int, twos: int, m: int, order: int, slack: int | None,
+                      least: int) -> tuple[list[np.ndarray], np.ndarray, bool]:
     """(posting keys, keys of the empty segments, is thin) of a set in space ``k`` under one order of the universe.
 
-    Without ``slack`` empty segments are posted like any others.
+    Without ``slack`` empty segments are posted like any others; segments of ``least`` elements or fewer are not.
     """
     if order:
         shingles = np.sort(_mixed(shingles ^ np.uint64(order * 0xA0761D6478BD642F & (1 << 64) - 1)))
@@ -228,7 +255,7 @@ def _ordered_postings(shingles: np.ndarray, k: int, twos: int, m: int, order: in
     place = _mixed(np.arange(m, dtype=np.uint64) + np.uint64((k + 1) << 32 | order << 30))
     full = _mixed(total + _mixed(place + count))
     if slack is None:
-        out = [full]
+        out = [full[count > least] if least >= 0 else full]
         if twos:  # one-deletion neighbourhoods: an element's segment without it
             at = np.flatnonzero(part < np.uint64(twos))
             of = part[at].astype(int)
@@ -258,10 +285,11 @@ def postings(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     for k in bands.spaces(len(shingles)):
         twos, ones = bands.allocation(k)
         m = twos + ones
-        slack = bands.slack(len(shingles), k) if not twos and bands.ends[k] >= 3 * m else None
+        least = bands.unposted(k)
+        slack = bands.slack(len(shingles), k) if least < 0 and not twos and bands.ends[k] >= 3 * m else None
         thin, order, empties = True, 0, []
         while thin and order < ORDERS:
-            keys, empty, thin = _ordered_postings(shingles, k, twos, m, order, slack)
+            keys, empty, thin = _ordered_postings(shingles, k, twos, m, order, slack, least)
             out += keys
             empties.append(empty)
             order += 1
@@ -273,14 +301,14 @@ def postings(shingles: np.ndarray, bands: Bands) -> np.ndarray:
 SETS = "doc_id long, n_shingles long, set_id long, keys array<long>"
 
 
-def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _sets(docs: DataFrame, words: int, percent: int, miss: float) -> DataFrame:
     """Per document: set size, set number (null: no words) and posting keys.
 
     Of equal sets that a task meets, the first alone carries the keys.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, seen = Bands(percent), set()
+        bands, seen = Bands(percent, miss), set()
         for batch in batches:
             n, number, keys = [], [], []
             for text in batch.column(1):
@@ -406,7 +434,7 @@ def _verify(percent: int):
 
 
 def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS,
-                 block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+                 block_shingles: int = BLOCK_SHINGLES, miss: float = 0.0) -> DataFrame:
     """doc_id, n_shingles, set_id, class_set, n_links per row of ``docs``.
 
     Rows with equal ``class_set`` are connected by links of at least
@@ -414,9 +442,10 @@ def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bl
     links to directly (equal sets included). A null or wordless text has no
     set (null set_id and class_set, 0 shingles) and links with nothing. A
     cluster is cut into so many blocks that one holds about ``block_sets``
-    sets and ``block_shingles`` shingles at most.
+    sets and ``block_shingles`` shingles at most. With ``miss`` = 0 no link is
+    lost (but for equal 64-bit hashes); a caller may allow a chance per link.
     """
-    sets = landed(_sets(docs, words, percent), "shingle-sets")
+    sets = landed(_sets(docs, words, percent, miss), "shingle-sets")
     clusters = components(_postings_to_edges(sets)).select(F.col("node").alias("c_set"), F.col("label").alias("cluster"))
     copies = sets.filter("set_id IS NOT NULL").groupBy("set_id").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size")
@@ -480,14 +509,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
-def one_per_class(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def one_per_class(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, miss: float = 0.0) -> DataFrame:
     """``docs`` with one row of each class: that of the smallest doc_id (null last).
 
     Texts without words all stay. Repeated rows (equal id and shingles) are
     one row. Unless an id is repeated, rows are kept by anti-join with the
     ids of the others, so texts are not shuffled while that list is small.
     """
-    rows = landed(link_classes(docs, words, percent), "link-classes").filter("set_id IS NOT NULL")
+    rows = landed(link_classes(docs, words, percent, miss=miss), "link-classes").filter("set_id IS NOT NULL")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("set_id").alias("set"))
     first = rows.groupBy(F.col("class_set").alias("f_set")).agg(F.min(order).alias("first"))
     marked = rows.join(sized_broadcast(first), F.col("class_set") == F.col("f_set")).select(

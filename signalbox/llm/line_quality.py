@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalbox.llm.common import col, landed, map_batches, sized_broadcast, unused_name, utf8
-from signalbox.llm.jaccard_join import link_classes
+from signalbox.llm.jaccard_join import RARE_MISS, link_classes
 
 MIN_DOCS = 10
 SHARE = 0.1
@@ -97,7 +97,7 @@ def _class_counts(docs: DataFrame, limits: DataFrame, near: tuple[int, int]) ->
     """host, line, n: in how many classes of near copies (``near``: words of a shingle, percent) the lines of ``limits`` stand.
 
     Classes are those of ``jaccard_join.link_classes`` among the documents
-    that hold such a line.
+    that hold such a line, with its chance ``RARE_MISS`` of a lost link.
     """
     held = "host string, lines array<long>, text binary"
 
@@ -117,7 +117,7 @@ def _class_counts(docs: DataFrame, limits: DataFrame, near: tuple[int, int]) ->
     )
     holders = map_batches(rows.select("host", "text", "packed"), run, held)
     holders = landed(holders.withColumn("doc_id", F.monotonically_increasing_id()), "line-holders")
-    classes = link_classes(holders.select("doc_id", "text"), *near).select(F.col("doc_id").alias("c_doc"), "class_set")
+    classes = link_classes(holders.select("doc_id", "text"), *near, miss=RARE_MISS).select(F.col("doc_id").alias("c_doc"), "class_set")
     lines = holders.select("doc_id", "host", "lines").join(classes, F.col("doc_id") == F.col("c_doc")).select(
         "host", F.explode("lines").alias("line"), "class_set"
     )

@@ -77,10 +77,11 @@ def test_pairs_that_agree_in_empty_segments_only_share_a_posting(percent):
     assert checked > 1000 and thin > 100
 
 
+@pytest.mark.parametrize("miss", [0.0, J.RARE_MISS])
 @pytest.mark.parametrize("percent", [80, 90])
-def test_large_similar_sets_share_a_posting(percent):
+def test_large_similar_sets_share_a_posting(percent, miss):
     """As different as similar sets may be, at every place of their size band."""
-    rng, bands = np.random.default_rng(percent), J.Bands(percent)
+    rng, bands = np.random.default_rng(percent), J.Bands(percent, miss)
     for size in [366, 718, 1500, 1501, 2000, 2400, 3000] * 12:
         every = rng.integers(0, 1 << 64, 2 * size, dtype=np.uint64)
         inter = int(np.ceil(size * percent / 100)) if rng.random() < 0.5 else int(np.ceil(2 * size * percent / (100 + percent)))
@@ -231,22 +232,6 @@ def test_one_row_of_each_class_stays(spark):
     assert J.one_per_class(docs.limit(0), 3, 90).count() == 0
 
 
-def test_word_cache_is_bounded_by_bytes(monkeypatch):
-    """Long words fill the cache as many short ones do; hashes stay the same when it starts anew."""
-    import numpy as np
-
-    from signalbox.llm import jaccard_join as J
-    from signalbox.llm.common import ByteBoundedCache
-
-    texts = [(" ".join(f"{i}{'x' * (i % 400)}" for i in range(k, k + 60))).encode() for k in range(0, 900, 30)]
-    plain = [J.shingle_set(t) for t in texts]
-    cache = ByteBoundedCache(20_000)
-    monkeypatch.setattr(J, "worker_cache", lambda name, make: cache)
-    for text, want in zip(texts, plain, strict=True):
-        assert np.array_equal(J.shingle_set(text), want)
-        assert sum(map(len, cache)) + cache.ENTRY * len(cache) <= max(20_000, 60 * (160 + 404))
-
-
 def test_links_between_two_blocks_equal_sets():
     rng = random.Random(2)
     sets = [np.array(sorted(rng.sample(range(1, 60), rng.randint(1, 40))), np.uint64) for _ in range(50)]
