@@ -38,9 +38,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays, that of the smallest id."""
+    """One document of each class of near duplicates stays, that of the smallest id (null last).
+
+    Null, empty and wordless texts all stay; repeated rows (equal id and text)
+    are one row. Postings may miss a link of long texts with a chance of
+    1e-15, the order of a collision of the 64-bit hashes.
+    """
     small_batches(spark)
-    return jaccard_join.one_per_class(docs, WORDS, PERCENT)
+    return jaccard_join.one_per_class(docs, WORDS, PERCENT, miss=jaccard_join.RARE_MISS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
