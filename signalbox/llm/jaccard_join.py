@@ -39,11 +39,17 @@ at most one element in a segment with v = 2.
   independent), segments of up to three elements are not posted, which keeps
   shared passages from joining long documents into large clusters.
 
-Sets that share a posting form clusters (connected components of postings).
-Only their texts are read a second time; each cluster is verified exactly, all
-its pairs at once, as products of set-membership matrices, in pairs of blocks
-of bounded size. Pairs are never written: a block pair returns one row per set
-with the smallest set it reaches and its number of links.
+Candidates are the pairs that share a posting, not its transitive closure. A
+set that shares two postings or more with the first set of their lists (one is
+enough in spaces of few segments) belongs to that set's core: cores are
+components of such links, so copies of one text are one core. All pairs of a
+core are verified at once; of a posting list that holds several cores, the
+pairs between them. Each text is read and cut into shingles a second time
+once, then sent to its core and such lists. Verification is exact, by products
+of set-membership matrices in pairs of blocks of bounded size. Pairs within a
+core are never written: a block pair returns one row per set with the smallest
+set it reaches and its number of links. Links between cores are written as pairs,
+as lists may repeat them.
 """
 
 from __future__ import annotations
@@ -77,6 +83,7 @@ SEEN_SETS = 100_000
 # A chance of a miss per link that a caller may allow: the order of a collision of 64-bit hashes.
 RARE_MISS = 1e-15
 ORDERS = 4
+FEW_SEGMENTS = 6
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 # Words are hashed many at a time, in pieces of a text of at most PIECE bytes and the rest of a word.
@@ -287,7 +294,7 @@ def postings(shingles: np.ndarray, bands: Bands) -> np.ndarray:
         m = twos + ones
         least = bands.unposted(k)
         slack = bands.slack(len(shingles), k) if least < 0 and not twos and bands.ends[k] >= 3 * m else None
-        thin, order, empties = True, 0, []
+        thin, order, empties, made = True, 0, [], len(out)
         while thin and order < ORDERS:
             keys, empty, thin = _ordered_postings(shingles, k, twos, m, order, slack, least)
             out += keys
@@ -295,6 +302,8 @@ def postings(shingles: np.ndarray, bands: Bands) -> np.ndarray:
             order += 1
         if thin:
             out += empties
+        # The lowest bit tells spaces of few segments, in which one posting makes a core.
+        out[made:] = [x >> np.uint64(1) << np.uint64(1) | np.uint64(m <= FEW_SEGMENTS) for x in out[made:]]
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
@@ -332,12 +341,34 @@ def _sets(docs: DataFrame, words: int, percent: int, miss: float) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text")).mapInArrow(run, SETS)
 
 
-def _postings_to_edges(sets: DataFrame) -> DataFrame:
-    """(u, v): every set with the smallest set of each posting it shares, repeats included. Streams over each list."""
+def _shared_postings(sets: DataFrame) -> DataFrame:
+    """(key, u, v): the sets of each posting list with its smallest set v < u. Streams over each list."""
     rows = sets.filter(F.size("keys") > 0).select(F.explode("keys").alias("key"), "set_id")
     upto = Window.partitionBy("key").orderBy("set_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     linked = rows.withColumn("first", F.min("set_id").over(upto)).filter("first < set_id")
-    return linked.select(F.col("set_id").alias("u"), F.col("first").alias("v"))
+    return linked.select("key", F.col("set_id").alias("u"), F.col("first").alias("v"))
+
+
+def _units(shared: DataFrame) -> DataFrame:
+    """(unit, set_id, core, across): what is verified together, a core or (``across``) a list that holds several cores."""
+    pairs = landed(shared.groupBy("u", "v").agg(F.min("key").alias("key"), F.max("key").alias("last")), "posting-pairs")
+    close = (F.col("key") != F.col("last")) | (F.col("key").bitwiseAND(F.lit(1)) == 1)
+    cores = landed(components(pairs.filter(close).select("u", "v")).select(
+        F.col("node").alias("of"), F.col("label").alias("core")), "cores")
+
+    def with_core(rows: DataFrame, of: str, name: str) -> DataFrame:
+        known = cores.select(F.col("of").alias(f"of_{name}"), F.col("core").alias(f"known_{name}"))
+        joined = rows.join(sized_broadcast(known), F.col(of) == F.col(f"of_{name}"), "left")
+        return joined.withColumn(name, F.coalesce(f"known_{name}", of)).drop(f"of_{name}", f"known_{name}")
+
+    loose = with_core(with_core(pairs.filter(~close), "u", "core_u"), "v", "core_v").filter("core_u <> core_v")
+    keys = landed(loose.select(F.col("key").alias("across_key")).distinct(), "lists-of-several-cores")
+    listed = shared.join(sized_broadcast(keys), F.col("key") == F.col("across_key")).select("key", "u", "v")
+    members = listed.select("key", F.explode(F.array("u", "v")).alias("set_id")).distinct()
+    across = with_core(members, "set_id", "core").select(
+        F.col("key").alias("unit"), "set_id", "core", F.lit(True).alias("across"))
+    within = cores.select(F.col("core").alias("unit"), F.col("of").alias("set_id"), "core", F.lit(False).alias("across"))
+    return within.unionAll(across)
 
 
 def membership(sets: list[np.ndarray], columns: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -407,28 +438,40 @@ VERIFIED = "u long, v long, n_links long"
 
 
 def _verify(percent: int):
-    """One block pair of a cluster: per set, the smallest set it reaches (or itself) and its links."""
+    """One block pair of a unit: in a core, per set, the smallest set it reaches (or itself) and its links.
+
+    Of a list of several cores, its links between them as pairs u > v, without a number of links.
+    """
 
     def run(block: pa.Table) -> pa.Table:
         number, at = np.unique(block["set_id"].to_numpy(), return_index=True)
         hashes, copies, own = block["shingles"], block["copies"].to_numpy()[at], block["own"].to_numpy()[at]
+        core, across = block["core"].to_numpy()[at], block["across"][0].as_py()
         sets = [np.frombuffer(hashes[int(i)].as_py(), np.uint64) for i in at]
         every, n = np.arange(len(number)), np.zeros(len(number), np.int64)
         p, q = block["p"][0].as_py(), block["q"][0].as_py()
         if p == q:
             left = right = every
             linked = links(sets, percent)
-            n += linked @ copies
         else:  # pairs across the two blocks only; those within one belong to its own pair (p, p)
             left, right = every[own == p], every[own == q]
             linked = links_between([sets[i] for i in left], [sets[i] for i in right], percent)
+        del hashes, sets
+        if across:
+            linked &= core[left][:, None] != core[right][None, :]
+            i, j = np.nonzero(linked)
+            u, v = number[left[i]], number[right[j]]
+            found = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)]), axis=1)
+            out = pa.table({"u": found[0], "v": found[1], "n_links": pa.nulls(found.shape[1], pa.int64())})
+        else:
             n[left] = linked @ copies[right]
-            n[right] = copies[left] @ linked
-        root = smallest_reached(linked, left, right, len(number))
-        del linked, hashes, sets
+            if p != q:
+                n[right] = copies[left] @ linked
+            out = pa.table({"u": number, "v": number[smallest_reached(linked, left, right, len(number))], "n_links": n})
+        del linked
         if len(number) > 256:
             give_back()
-        return pa.table({"u": number, "v": number[root], "n_links": n})
+        return out
 
     return run
 
@@ -440,26 +483,31 @@ def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bl
     Rows with equal ``class_set`` are connected by links of at least
     ``percent`` % Jaccard similarity; ``n_links`` counts the other rows a row
     links to directly (equal sets included). A null or wordless text has no
-    set (null set_id and class_set, 0 shingles) and links with nothing. A
-    cluster is cut into so many blocks that one holds about ``block_sets``
+    set (null set_id and class_set, 0 shingles) and links with nothing. A core
+    or list is cut into so many blocks that one holds about ``block_sets``
     sets and ``block_shingles`` shingles at most. With ``miss`` = 0 no link is
     lost (but for equal 64-bit hashes); a caller may allow a chance per link.
     """
     sets = landed(_sets(docs, words, percent, miss), "shingle-sets")
-    clusters = components(_postings_to_edges(sets)).select(F.col("node").alias("c_set"), F.col("label").alias("cluster"))
+    shared = landed(_shared_postings(sets), "shared-postings")
+    units = _units(shared).select("unit", F.col("set_id").alias("c_set"), "core", "across")
     copies = sets.filter("set_id IS NOT NULL").groupBy("set_id").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size")
     )
-    members = landed(clusters.join(copies, F.col("c_set") == F.col("set_id")).drop("c_set"), "cluster-members")
+    members = landed(units.join(copies, F.col("c_set") == F.col("set_id")).drop("c_set"), "unit-members")
     blocks = F.greatest(F.count("*") / block_sets, F.sum("size") / block_shingles)
-    sizes = members.groupBy(F.col("cluster").alias("s_cluster")).agg(F.ceil(blocks).cast("int").alias("n_blocks"))
+    sizes = members.groupBy(F.col("unit").alias("s_unit"), F.col("across").alias("s_across")).agg(
+        F.ceil(blocks).cast("int").alias("n_blocks")
+    )
+    # A set is in one core and in as many lists as it has postings at most.
     wanted = landed(
-        members.join(sizes, F.col("cluster") == F.col("s_cluster")).select("rep", "set_id", "cluster", "copies", "n_blocks"),
+        members.join(sizes, (F.col("unit") == F.col("s_unit")) & (F.col("across") == F.col("s_across")))
+        .groupBy("rep", "set_id", "copies", "core").agg(F.collect_list(F.struct("unit", "across", "n_blocks")).alias("units")),
         "candidates",
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text")).join(
         sized_broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("rep"))
-    ).select("text", "set_id", "cluster", "copies", "n_blocks")
+    ).select("text", "set_id", "copies", "core", "units")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -470,17 +518,25 @@ def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bl
             yield out.filter(same)
         give_back()
 
-    block = F.pmod(F.xxhash64("set_id"), F.col("n_blocks")).cast("int")
     met = (
-        rows.mapInArrow(again, "shingles binary, set_id long, cluster long, copies long, n_blocks int")
-        .withColumn("own", block)
+        rows.mapInArrow(again, "shingles binary, set_id long, copies long, core long, "
+                               "units array<struct<unit long, across boolean, n_blocks int>>")
+        .select("shingles", "set_id", "copies", "core", F.inline("units"))
+        .withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("n_blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
         .withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
         .drop("other", "n_blocks")
     )
-    verified = landed(met.groupBy("cluster", "p", "q").applyInArrow(_verify(percent), VERIFIED), "verified")
+    verified = landed(met.groupBy("unit", "across", "p", "q").applyInArrow(_verify(percent), VERIFIED), "verified")
     joined = components(verified.filter("u <> v").select("u", "v"))
-    n_links = verified.groupBy("u").agg(F.sum("n_links").alias("n"))
+    # Several lists may find the same link between cores.
+    pairs = landed(verified.filter("n_links IS NULL").select("u", "v").distinct(), "links-between-cores")
+    both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    others = copies.select(F.col("set_id").alias("o_set"), "copies")
+    counted = verified.filter("n_links IS NOT NULL").select("u", "n_links").unionAll(
+        both.join(others, F.col("v") == F.col("o_set")).select("u", F.col("copies").alias("n_links"))
+    )
+    n_links = counted.groupBy("u").agg(F.sum("n_links").alias("n"))
     known = (
         copies.select(F.col("set_id").alias("k_set"), "copies")
         .join(n_links, F.col("k_set") == F.col("u"), "left")
