@@ -260,3 +260,32 @@ def test_links_do_not_depend_on_the_blocks(spark, bound):
             least[r.class_set] = min(least.get(r.class_set, r.doc_id), r.doc_id)
     found = [(r.doc_id, r.n_shingles, least.get(r.class_set, r.doc_id), r.n_links) for r in got]
     assert sorted(found, key=repr) == _brute(rows, 5, 80)
+
+
+def test_pairs_of_a_shared_passage_are_verified_by_lists_not_by_closures(spark):
+    """600 different documents around one passage: units stay lists of pairs that share a posting; links are exact."""
+    rng = random.Random(41)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join(passage + [f"w{rng.getrandbits(40)}" for _ in range(80)])) for i in range(600)]
+    near = passage + [f"n{i}" for i in range(80)]
+    for i in range(60):  # near copies of one text that holds the passage too
+        words = list(near)
+        words[rng.randrange(45, 115)] = f"e{i}"
+        rows.append((5000 + i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = J.landed(J._sets(docs, 5, 80, 0.0), "test-sets")
+    units = J._units(J.landed(J._shared_postings(sets), "test-shared")).collect()
+    lists = {}
+    for u in units:
+        lists.setdefault((u.unit, u.across), []).append(u)
+    assert any(across for _, across in lists)
+    compared = sum(len(x) ** 2 for x in lists.values())
+    assert compared < 660**2 / 2
+    assert all(len({u.core for u in x}) > 1 for (_, across), x in lists.items() if across)
+    got = {r.doc_id: (r.class_set, r.n_links) for r in J.link_classes(docs, 5, 80).collect()}
+    want = {i: (c, n) for i, _, c, n in _brute(rows, 5, 80)}
+    assert {i: n for i, (_, n) in got.items()} == {i: n for i, (_, n) in want.items()}
+    classes = {}
+    for i, (c, _) in got.items():
+        classes.setdefault(c, []).append(i)
+    assert {i: min(x) for x in classes.values() for i in x} == {i: c for i, (c, _) in want.items()}
