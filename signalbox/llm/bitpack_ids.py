@@ -111,7 +111,6 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID,
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
     chars = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part, serial = encoder(vocabulary), TaskContext.get().partitionId(), 0
@@ -124,12 +123,12 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID,
             )
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                own = tokens.encode(text.as_py().decode("utf-8", "replace")) + tail
+            encoded = tokens.encode_batch(batch.column(1), end_id)
+            for doc_id, own in zip(batch.column(0).to_pylist(), encoded, strict=True):
                 if held and size + len(own) > 4 * segment_ids:
                     yield image()
                     doc_ids, held, size, serial = [], [], 0, serial + 1
-                doc_ids.append(doc_id.as_py())
+                doc_ids.append(doc_id)
                 held.append(own)
                 size += len(own)
         if held:
